@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MONEY = "decimal(18,4)"
 
@@ -64,3 +65,12 @@ def risk_band(probability: Column | str) -> Column:
 def document_text(*columns: str) -> Column:
     """Catalog text for embedding; a missing part stays as an empty part."""
     return F.concat_ws(" — ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+
+
+def parsed_once(text: Column | str, schema: StructType, options: dict[str, str] | None = None) -> Column:
+    """``from_json`` as a generator of one row.
+
+    Later filters on the parsed fields stop at a generator. Through a plain projection they would
+    be pushed down with a copy of the parser for every field they test.
+    """
+    return F.explode(F.array(F.from_json(text, schema, options)))

@@ -5,9 +5,8 @@ A window partitioned by a key puts the whole key into one task. Here every key a
 and what crosses a slice border is carried over from a small per-slice summary. Without a hot
 key the plan is the plain window. The results are the same rows and values either way.
 
-Looking for hot keys is one more pass over the key and order columns. It reads ``probe``, a cheaper
-frame with those columns and at least the rows per key of ``df`` (a scan before the dedup, say);
-by default it reads ``df``, which should then be stored data.
+Looking for hot keys is one more pass over the key and order columns: give ``find_hot_keys`` a cheap
+frame with at least the rows per key of the frame that is windowed, such as the scan before a dedup.
 """
 
 from __future__ import annotations
@@ -30,15 +29,15 @@ def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"_k_{k}" for k in keys})
 
 
-def cut_hot_keys(
-    df: DataFrame, keys: list[str], order: str, max_group_rows: int, probe: DataFrame | None = None
+def find_hot_keys(
+    probe: DataFrame, keys: list[str], order: str, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame | None:
-    """``df`` with ``_slice`` and ``_hot``, or None when no key is over the limit.
+    """The hot keys with their cuts along ``order``, or None when no key is over the limit.
 
-    At most ``rows / max_group_rows`` keys can be hot, so the list of cuts stays small whatever
-    the data; whether it is broadcast is still left to the planner.
+    At most ``rows / max_group_rows`` keys can be hot, so this stays small whatever the data;
+    whether it is broadcast is still left to the planner.
     """
-    probe = (df if probe is None else probe).select(*keys, order)
+    probe = probe.select(*keys, order)
     hot = probe.groupBy(*keys).count().filter(F.col("count") > max_group_rows)
     largest = hot.agg(F.max("count")).first()[0]
     if largest is None:
@@ -46,15 +45,18 @@ def cut_hot_keys(
     slices = min(MAX_SLICES, max(2, math.ceil(largest / max_group_rows)))
     shares = [i / slices for i in range(1, slices)]
     wanted = _renamed(hot.select(*keys), keys)
-    cuts = _renamed(
+    cuts = (
         probe.join(wanted, _same(probe, wanted, keys), "left_semi")
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, shares, 10_000).alias("_cuts")),
-        keys,
+        .agg(F.percentile_approx(order, shares, 10_000).alias("_cuts"))
     )
+    return _renamed(cuts, keys)
+
+
+def _slice(df: DataFrame, hot: DataFrame, keys: list[str], order: str) -> DataFrame:
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
     return (
-        df.join(cuts, _same(df, cuts, keys), "left")
+        df.join(hot, _same(df, hot, keys), "left")
         .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below).otherwise(0))
         .withColumn("_hot", F.col("_cuts").isNotNull())
         .drop("_cuts", *[f"_k_{k}" for k in keys])
@@ -68,14 +70,13 @@ def _with_summary(sliced: DataFrame, summary: DataFrame, keys: list[str]) -> Dat
 
 
 def next_in_key(
-    df: DataFrame, keys: list[str], order: str, values: list[str], out: str,
-    max_group_rows: int = MAX_GROUP_ROWS, probe: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: str, values: list[str], out: str, hot: DataFrame | None
 ) -> DataFrame:
     """Adds ``out``: the following row's ``values`` as a struct, NULL on the last row of a key."""
     row = F.struct(*values)
-    sliced = cut_hot_keys(df, keys, order, max_group_rows, probe)
-    if sliced is None:
+    if hot is None:
         return df.withColumn(out, F.lead(row).over(Window.partitionBy(*keys).orderBy(order)))
+    sliced = _slice(df, hot, keys, order)
     inside = Window.partitionBy(*keys, "_slice").orderBy(order)
     firsts = sliced.filter("_hot").groupBy(*keys, "_slice").agg(F.min_by(row, F.col(order)).alias("_first"))
     carry = firsts.select(
@@ -86,14 +87,13 @@ def next_in_key(
 
 
 def newest_rank(
-    df: DataFrame, keys: list[str], order: str, ties: list[str], out: str,
-    max_group_rows: int = MAX_GROUP_ROWS, probe: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: str, ties: list[str], out: str, hot: DataFrame | None
 ) -> DataFrame:
     """Adds ``out``: 1 for the newest row of a key, 2 for the one before, and so on."""
     ordering = [F.col(order).desc_nulls_last(), *ties]
-    sliced = cut_hot_keys(df, keys, order, max_group_rows, probe)
-    if sliced is None:
+    if hot is None:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
+    sliced = _slice(df, hot, keys, order)
     inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*ordering))
     later = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
     sizes = sliced.filter("_hot").groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
@@ -104,15 +104,14 @@ def newest_rank(
 
 
 def last_known(
-    df: DataFrame, keys: list[str], order: str, ties: list[str], value: str, out: str,
-    max_group_rows: int = MAX_GROUP_ROWS, probe: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: str, ties: list[str], value: str, out: str, hot: DataFrame | None
 ) -> DataFrame:
     """Adds ``out``: the latest non-NULL ``value`` of the key up to and including this row."""
-    sliced = cut_hot_keys(df, keys, order, max_group_rows, probe)
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if sliced is None:
+    if hot is None:
         window = Window.partitionBy(*keys).orderBy(order, *ties).rowsBetween(*so_far)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(window))
+    sliced = _slice(df, hot, keys, order)
     inside = Window.partitionBy(*keys, "_slice").orderBy(order, *ties).rowsBetween(*so_far)
     ends = (
         sliced.filter(F.col("_hot"))

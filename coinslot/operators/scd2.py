@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from coinslot.functions.expr import parsed_once
 from coinslot.model.schemas import envelope_schema
 from coinslot.operators.dedup import best_row
-from coinslot.operators.hotkeys import MAX_GROUP_ROWS, last_known, next_in_key
+from coinslot.operators.hotkeys import MAX_GROUP_ROWS, find_hot_keys, last_known, next_in_key
 
 TECHNICAL = ["_pk", "_op", "_lsn", "_committed_at"]
 
@@ -21,7 +22,7 @@ TECHNICAL = ["_pk", "_op", "_lsn", "_committed_at"]
 def parse_envelopes(raw: DataFrame, payload: StructType, value: str = "value") -> DataFrame:
     """Text envelopes to columns; other columns of ``raw`` are kept."""
     others = [c for c in raw.columns if c != value]
-    return raw.select(F.from_json(value, envelope_schema(payload)).alias("_d"), *others).select("_d.*", *others)
+    return raw.select(parsed_once(value, envelope_schema(payload)).alias("_d"), *others).select("_d.*", *others)
 
 
 def flatten_envelope(df: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -59,17 +60,17 @@ def scd2_history(
 ) -> DataFrame:
     """History of flattened changes; ``collapse_within_batch`` keeps one version per key and batch.
 
-    Hot keys are looked up in ``changes`` before the dedup, so that should be a scan.
+    Hot keys are looked up in ``changes``, so that should be a scan. Without one, a single exchange
+    by key serves both dedups and the window; with one, replays are folded by (key, LSN) first.
     """
-    probe = changes.select("_pk", "_lsn")
+    hot = find_hot_keys(changes, ["_pk"], "_lsn", max_group_rows)
+    placed = changes.repartition("_pk") if hot is None else changes
     if collapse_within_batch:
         if batch is None:
             raise ValueError("collapse_within_batch needs the batch column")
-        changes = last_writer(changes, batch)
-    if batch is not None:
-        changes = changes.drop(batch)
-    unique = distinct_changes(changes)
-    linked = next_in_key(unique, ["_pk"], "_lsn", ["_committed_at"], "_next", max_group_rows, probe)
+        placed = last_writer(placed, batch)
+    unique = distinct_changes(placed if batch is None else placed.drop(batch))
+    linked = next_in_key(unique, ["_pk"], "_lsn", ["_committed_at"], "_next", hot)
     return linked.select(
         *unique.columns,
         (F.col("_op") == "d").alias("is_deleted"),
@@ -131,7 +132,9 @@ def point_in_time_join(
         F.col("_lsn").alias("_seq"), version.alias("_version"),
     )
     timeline = events.unionByName(starts, allowMissingColumns=True)
-    filled = last_known(timeline, ["_k"], "_at", ["_kind", "_seq"], "_version", "_seen", max_group_rows)
+    moments = events.select("_k", "_at").unionByName(history.select(F.col("_pk").alias("_k"), F.col("valid_from").alias("_at")))
+    hot = find_hot_keys(moments, ["_k"], "_at", max_group_rows)
+    filled = last_known(timeline, ["_k"], "_at", ["_kind", "_seq"], "_version", "_seen", hot)
     alive = (F.col("_seen.valid_to").isNull() | (F.col("_at") < F.col("_seen.valid_to"))) & ~F.col("_seen.is_deleted")
     return filled.filter("_kind = 1").select(
         "_fact.*", *[F.when(alive, F.col(f"_seen.{c}")).alias(c) for c in columns]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from coinslot.functions.expr import document_text
+from coinslot.functions.expr import document_text, parsed_once
 from coinslot.model.schemas import ENRICHMENT, RETRO_APPEAL
 
 CATALOG_KEY = ["title", "platform_code"]
@@ -70,7 +70,7 @@ def complete_catalog(
 def validate_completions(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds ``enrichment`` and ``reject_reason`` (NULL for a usable completion)."""
     schema = StructType([*ENRICHMENT.fields, StructField("_bad", StringType())])
-    parsed = F.from_json(F.col(raw), schema, {"columnNameOfCorruptRecord": "_bad"})
+    parsed = parsed_once(F.col(raw), schema, {"columnNameOfCorruptRecord": "_bad"})
     reason = (
         F.when(F.col(raw).isNull(), "no completion")
         .when(F.col("_e").isNull() | F.col("_e._bad").isNotNull(), "invalid json")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coinslot.functions.expr import as_double, confidence, exact_sum, ratio
-from coinslot.operators.hotkeys import MAX_GROUP_ROWS, newest_rank
+from coinslot.operators.hotkeys import MAX_GROUP_ROWS, find_hot_keys, newest_rank
 from coinslot.session import materialise
 
 SERIES = ["platform_code", "channel_type"]
@@ -50,7 +50,8 @@ def interaction_features(events: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
     """Interactions with the recency rank per player. The reduced pairs are stored once, because
     the search for hot players reads them again."""
     pairs = materialise(interactions(events), "interactions")
-    return newest_rank(pairs, ["player_id"], "last_seen", ["product_id"], "_rank_desc", max_group_rows)
+    hot = find_hot_keys(pairs, ["player_id"], "last_seen", max_group_rows)
+    return newest_rank(pairs, ["player_id"], "last_seen", ["product_id"], "_rank_desc", hot)
 
 
 def daily_revenue(events: DataFrame) -> DataFrame:

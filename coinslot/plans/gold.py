@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from coinslot.functions.expr import MONEY, as_double, exact_sum, ratio
 from coinslot.operators.dedup import best_row
-from coinslot.operators.hotkeys import MAX_GROUP_ROWS, next_in_key
+from coinslot.operators.hotkeys import MAX_GROUP_ROWS, find_hot_keys, next_in_key
 
 CHURN_AFTER_DAYS = 90
 CELL = ["era", "console_family", "platform_code", "channel_type"]
@@ -148,14 +148,9 @@ def membership_movements(history: DataFrame, max_group_rows: int = MAX_GROUP_ROW
     A reactivation is an ACTIVE version after one that was not; expansion is the rise of the
     amount between two ACTIVE versions.
     """
-    steps = next_in_key(
-        history.withColumn("amount", F.col("mrr").cast(MONEY)),
-        ["_pk"],
-        "_lsn",
-        ["status", "amount", "valid_from"],
-        "_next",
-        max_group_rows,
-    ).filter(F.col("_next").isNotNull() & (F.col("_next.status") == "ACTIVE"))
+    versions = history.withColumn("amount", F.col("mrr").cast(MONEY))
+    hot = find_hot_keys(history, ["_pk"], "_lsn", max_group_rows)
+    steps = next_in_key(versions, ["_pk"], "_lsn", ["status", "amount", "valid_from"], "_next", hot).filter(F.col("_next").isNotNull() & (F.col("_next.status") == "ACTIVE"))
     stays = F.col("status") == "ACTIVE"
     rise = F.col("_next.amount") - F.col("amount")
     return steps.groupBy(F.date_trunc("month", "_next.valid_from").alias("month")).agg(

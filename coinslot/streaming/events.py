@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from coinslot.functions.expr import net_revenue
+from coinslot.functions.expr import net_revenue, parsed_once
 from coinslot.model.schemas import PURCHASE_EVENT
 
 WATERMARK = "15 minutes"
@@ -19,7 +19,7 @@ def parse_messages(raw: DataFrame) -> DataFrame:
 
     ``error`` is NULL for a usable event; the first failing check names it.
     """
-    event = F.from_json("value", _LENIENT, {"columnNameOfCorruptRecord": _BAD})
+    event = parsed_once("value", _LENIENT, {"columnNameOfCorruptRecord": _BAD})
     e = "_e"
 
     def blank(name: str):

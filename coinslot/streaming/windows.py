@@ -62,16 +62,20 @@ class PaneSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         mark = self._watermark(batch_id)
-        sums = _by_window(batch, "occurred_at", KEYS, self.size, self.slide).agg(exact_sum("net_revenue").alias("pane"))
-        panes = _flat(sums, KEYS, "pane")
+        sums = _by_window(batch, "occurred_at", KEYS, self.size, self.slide).agg(
+            exact_sum("net_revenue").alias("pane"), F.max("occurred_at").alias("high")
+        )
+        panes = _flat(sums, KEYS, "pane", "high")
         if mark is not None:
             panes = panes.filter(F.col("window_end") + F.expr(f"INTERVAL {self.lateness}") > F.lit(mark))
-        panes.write.mode("overwrite").parquet(f"{self.root}/panes/batch_id={batch_id}")
-        high = batch.agg(F.max("occurred_at").alias("high"))
+        written = f"{self.root}/panes/batch_id={batch_id}"
+        panes.write.mode("overwrite").parquet(written)
+        # Read back rather than evaluate the batch again; dropped panes are older than the mark.
+        high = self.spark.read.schema(panes.schema).parquet(written).agg(F.max("high").alias("high"))
         high.write.mode("overwrite").parquet(f"{self.root}/marks/batch_id={batch_id}")
 
     def panes(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/panes")
+        return self.spark.read.parquet(f"{self.root}/panes").drop("high")
 
 
 def panes_total(panes: DataFrame) -> DataFrame:
