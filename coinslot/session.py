@@ -9,16 +9,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session. Skewed joins are split at run time, also
-# where the split costs one more exchange: a hot key may hold a third of all rows.
+# where the split costs one more exchange: a hot key may hold a third of all rows. Stream state
+# lives in RocksDB, so it may outgrow executor memory.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """Session for tests and the benchmark; on a cluster the submitter owns master and memory."""
