@@ -26,7 +26,7 @@ CLUSTERING = {
 def _publish(df: DataFrame, schema: str, name: str) -> None:
     table = f"{schema}.{name}"
     layout.publish(df, table, CLUSTERING.get(name))
-    df.sparkSession.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    layout.analyse(df.sparkSession, table)
 
 
 def refresh_dims(spark: SparkSession, schema: str) -> None:
