@@ -139,7 +139,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("sev", "hist"),
         f"""SELECT player_id, max(occurred_at) AS last_purchase_at, min(occurred_at) AS first_purchase_at,
              count(*) AS purchase_count, sum(net_revenue::DECIMAL(18,4))::DOUBLE AS lifetime_value,
-             round(sum(net_revenue::DECIMAL(18,4))::DOUBLE / count(net_revenue), 6) AS avg_order_value,
+             sum(net_revenue::DECIMAL(18,4))::DOUBLE / count(net_revenue) AS avg_order_value,
              coalesce(sum(net_revenue::DECIMAL(18,4)) FILTER (is_physical), 0)::DOUBLE AS physical_spend,
              coalesce(sum(net_revenue::DECIMAL(18,4)) FILTER (channel_type = 'DIGITAL'), 0)::DOUBLE AS digital_spend,
              coalesce(sum(net_revenue::DECIMAL(18,4)) FILTER (is_membership), 0)::DOUBLE AS membership_spend,
@@ -147,8 +147,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
              array_to_string(list_sort(list(DISTINCT console_family) FILTER (console_family IS NOT NULL)), ',') AS console_families,
              date_diff('day', max(occurred_at)::DATE, {AS_OF})::INTEGER AS recency_days,
              date_diff('day', min(occurred_at)::DATE, {AS_OF})::INTEGER AS tenure_days,
-             round(coalesce(sum(net_revenue::DECIMAL(18,4)) FILTER (channel_type = 'DIGITAL'), 0)::DOUBLE
-               / nullif(sum(net_revenue::DECIMAL(18,4))::DOUBLE, 0), 6) AS digital_share,
+             coalesce(sum(net_revenue::DECIMAL(18,4)) FILTER (channel_type = 'DIGITAL'), 0)::DOUBLE
+               / nullif(sum(net_revenue::DECIMAL(18,4))::DOUBLE, 0) AS digital_share,
              (date_diff('day', max(occurred_at)::DATE, {AS_OF}) > 90)::INTEGER AS is_churned,
              any_value(s.membership_tier) AS membership_tier, any_value(s.status) AS membership_status,
              any_value(s.mrr::DOUBLE) AS mrr
@@ -167,7 +167,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("ssales", "sev"),
         """SELECT * FROM (SELECT era, console_family, platform_code, 'PHYSICAL' AS channel_type, genre,
                sum(global_sales_musd) AS physical_units_m, count(DISTINCT title) AS titles_released,
-               round(sum(critic_score) / count(critic_score), 6) AS avg_critic_score
+               sum(critic_score) / count(critic_score) AS avg_critic_score
              FROM ssales GROUP BY era, console_family, platform_code, genre)
            FULL JOIN (SELECT era, console_family, platform_code, channel_type,
                sum(net_revenue::DECIMAL(18,4))::DOUBLE AS net_revenue, count(DISTINCT player_id) AS buyers,
@@ -178,7 +178,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("ssales",),
         """SELECT *, (release_year - launch_year)::INTEGER AS years_since_launch,
              sum(software_units_m) OVER (PARTITION BY platform_code ORDER BY release_year) AS cumulative_units_m,
-             round(software_units_m / titles, 6) AS attach_rate_proxy
+             software_units_m / titles AS attach_rate_proxy
            FROM (SELECT console_family, platform_code, generation, launch_year, release_year,
              sum(global_sales_musd) AS software_units_m, count(DISTINCT title) AS titles FROM ssales GROUP BY ALL)""",
     ),
@@ -196,10 +196,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
              SELECT ds, platform_code, channel_type, rev, rev::DOUBLE AS revenue, transactions,
                lag(rev, 1) OVER w::DOUBLE AS revenue_lag_1, lag(rev, 7) OVER w::DOUBLE AS revenue_lag_7,
                lag(rev, 28) OVER w::DOUBLE AS revenue_lag_28,
-               round(sum(rev) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)::DOUBLE
-                 / count(*) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS revenue_roll_7,
-               round(sum(rev) OVER (w ROWS BETWEEN 27 PRECEDING AND CURRENT ROW)::DOUBLE
-                 / count(*) OVER (w ROWS BETWEEN 27 PRECEDING AND CURRENT ROW), 6) AS revenue_roll_28,
+               sum(rev) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)::DOUBLE
+                 / count(*) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS revenue_roll_7,
+               sum(rev) OVER (w ROWS BETWEEN 27 PRECEDING AND CURRENT ROW)::DOUBLE
+                 / count(*) OVER (w ROWS BETWEEN 27 PRECEDING AND CURRENT ROW) AS revenue_roll_28,
                (dayofweek(ds) + 1)::INTEGER AS dow, month(ds)::INTEGER AS month,
                (month(ds) IN (11, 12))::INTEGER AS is_holiday_season
              FROM (SELECT occurred_at::DATE AS ds, platform_code, channel_type,
@@ -258,7 +258,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "recall": (
         ("inter", "top_seen"),
-        """SELECT m, count(*) AS relevant, count(hit) AS hits, round(count(hit) / count(*), 6) AS recall
+        """SELECT m, count(*) AS relevant, count(hit) AS hits, count(hit) / count(*) AS recall
            FROM (SELECT r.product_id, ms.m, t.product_id AS hit FROM inter r CROSS JOIN (VALUES ('purchases'), ('spend')) ms(m)
              LEFT JOIN top_seen t ON t.m = ms.m AND t.product_id = r.product_id WHERE r._rank_desc = 1) GROUP BY m""",
     ),
@@ -345,10 +345,10 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_title_performance": (
         ("ssales", "sev"),
         """SELECT * FROM (SELECT title, min(release_year)::INTEGER AS first_release_year, sum(global_sales_musd) AS units_m,
-               round(sum(critic_score) / count(critic_score), 6) AS avg_critic_score,
-               round(sum(user_score::DECIMAL(18,4))::DOUBLE / count(user_score), 6) AS avg_user_score FROM ssales GROUP BY title)
+               sum(critic_score) / count(critic_score) AS avg_critic_score,
+               sum(user_score::DECIMAL(18,4))::DOUBLE / count(user_score) AS avg_user_score FROM ssales GROUP BY title)
            FULL JOIN (SELECT title, sum(net_revenue::DECIMAL(18,4))::DOUBLE AS net_revenue, count(*) AS transactions,
-               count(DISTINCT player_id) AS buyers, round(count(*) FILTER (is_preowned) / count(*), 6) AS preowned_share
+               count(DISTINCT player_id) AS buyers, count(*) FILTER (is_preowned) / count(*) AS preowned_share
              FROM sev GROUP BY title) USING (title)""",
     ),
     "lookup_sales_by_era": (
@@ -388,7 +388,7 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         ("hist",),
         """SELECT month, membership_tier, mrr::DOUBLE AS mrr, active_subs, churned_subs, prior::DOUBLE AS prior_mrr,
              (mrr - coalesce(prior, 0))::DOUBLE AS net_new_mrr,
-             round(churned_subs / nullif(active_subs + churned_subs, 0), 6) AS churn_rate
+             churned_subs / nullif(active_subs + churned_subs, 0) AS churn_rate
            FROM (SELECT *, lag(mrr) OVER (PARTITION BY membership_tier ORDER BY month) AS prior
              FROM (SELECT date_trunc('month', valid_from)::TIMESTAMP AS month, membership_tier,
                coalesce(sum(mrr::DECIMAL(18,4)) FILTER (status = 'ACTIVE'), 0) AS mrr,

@@ -44,9 +44,9 @@ def as_double(c: Column | str) -> Column:
     return col(c).cast("double")
 
 
-def ratio(top: Column | str, bottom: Column | str, digits: int = 6) -> Column:
+def ratio(top: Column | str, bottom: Column | str) -> Column:
     """Double division that yields NULL on a zero denominator."""
-    return F.round(F.try_divide(as_double(top), as_double(bottom)), digits)
+    return F.try_divide(as_double(top), as_double(bottom))
 
 
 def upper_trim(c: Column | str) -> Column:

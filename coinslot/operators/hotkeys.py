@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 MAX_GROUP_ROWS = 5_000_000
 MAX_SLICES = 512
+STEP = 23
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -54,12 +55,20 @@ def find_hot_keys(
 
 
 def _slice(df: DataFrame, hot: DataFrame, keys: list[str], order: str) -> DataFrame:
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
+    """Adds ``_slice``: how many cuts of the key are below the row. The sorted cuts are searched in
+    two steps, every n-th cut first, so a row of a hot key meets about twice the root of them."""
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut < F.col(order)))
+
+    marked = hot.withColumn("_coarse", F.filter("_cuts", lambda _, i: (i + 1) % STEP == 0))
+    coarse = below(F.col("_coarse")) * STEP
     return (
-        df.join(hot, _same(df, hot, keys), "left")
-        .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below).otherwise(0))
+        df.join(marked, _same(df, marked, keys), "left")
+        .withColumn("_from", F.when(F.col("_cuts").isNotNull(), coarse))
+        .withColumn("_slice", F.coalesce(F.col("_from") + below(F.slice("_cuts", F.col("_from") + 1, STEP)), F.lit(0)))
         .withColumn("_hot", F.col("_cuts").isNotNull())
-        .drop("_cuts", *[f"_k_{k}" for k in keys])
+        .drop("_cuts", "_coarse", "_from", *[f"_k_{k}" for k in keys])
     )
 
 
