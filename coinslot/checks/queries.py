@@ -192,7 +192,7 @@ def dq_drop_per_rule(spark, sf):
 
 @query
 def dq_summary(spark, sf):
-    return quality.rule_counts(dirty_result(spark, sf))
+    return quality.rule_counts(dirty_result(spark, sf), quality.event_rules(AS_OF_TS))
 
 
 @query
@@ -526,7 +526,7 @@ def chronological_split(spark, sf):
 @query
 def recsys_training_set(spark, sf):
     pairs = materialise(features.interactions(silver_events(spark, sf)), "pairs")
-    return recommend.training_set(pairs, player_360(spark, sf))
+    return recommend.training_set(pairs, gold.churn_labels(silver_events(spark, sf), F.expr(AS_OF)))
 
 
 @query

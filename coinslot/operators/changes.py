@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coinslot.session import read_stored
+
 
 def change_feed(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows that differ, with ``_change_type``; an update yields its pre- and post-image.
@@ -48,10 +50,9 @@ class Positions:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self.spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(path)
 
     def table(self) -> DataFrame:
-        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        rows = read_stored(self.spark, self.SCHEMA, self.path)
         return rows.groupBy("source").agg(F.max("last_version").alias("last_version"))
 
     def last(self, source: str) -> int | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,33 @@ def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None
     placed.sortWithinPartitions(*keys).write.mode("errorifexists").parquet(path)
 
 
+def append(df: DataFrame, path: str, evolve: bool = False) -> None:
+    """Appends to a parquet folder. Strict by default: the columns and types must be the stored ones.
+
+    With ``evolve`` new columns may appear; read such a folder with ``read_evolved``.
+    """
+    stored = _stored_types(df.sparkSession, path)
+    given = {f.name: f.dataType for f in df.schema}
+    if stored is not None:
+        clash = [c for c in given if c in stored and given[c] != stored[c]]
+        if clash or (not evolve and set(given) != set(stored)):
+            raise ValueError(f"schema mismatch on append: {sorted(given)} to {sorted(stored)}, types differ: {clash}")
+    df.write.mode("append").parquet(path)
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _stored_types(spark: SparkSession, path: str) -> dict | None:
+    try:
+        return {f.name: f.dataType for f in read_evolved(spark, path).schema}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def analyse(spark: SparkSession, table: str) -> None:
     """Table and column statistics; nested columns have none."""
     nested = ("array", "map", "struct", "timestamp_ntz", "variant")

@@ -54,6 +54,20 @@ def _spent(cells_total: str, where: Column) -> Column:
     return F.coalesce(F.sum(F.when(where, F.col(cells_total))), F.lit(0).cast(MONEY))
 
 
+def _days_before(as_of: Column, c: str) -> Column:
+    return F.datediff(as_of, F.to_date(c))
+
+
+def _churned(as_of: Column, last: str) -> Column:
+    return (_days_before(as_of, last) > CHURN_AFTER_DAYS).cast("int")
+
+
+def churn_labels(events: DataFrame, as_of: Column) -> DataFrame:
+    """Only the label of the player mart, for jobs that need nothing else of it."""
+    last = events.groupBy("player_id").agg(F.max("occurred_at").alias("last_purchase_at"))
+    return last.select("player_id", _churned(as_of, "last_purchase_at").alias("is_churned"))
+
+
 def player_360(events: DataFrame, history: DataFrame, as_of: Column) -> DataFrame:
     """One row per player: recency, frequency, money, channel mix, membership and churn label."""
     cells = events.groupBy("player_id", "platform_code", "console_family", "channel_type").agg(
@@ -77,9 +91,6 @@ def player_360(events: DataFrame, history: DataFrame, as_of: Column) -> DataFram
         F.sort_array(F.collect_set("console_family")).alias("console_families"),
     )
 
-    def age(c: str) -> Column:
-        return F.datediff(as_of, F.to_date(c))
-
     scored = rolled.select(
         "player_id",
         "last_purchase_at",
@@ -92,10 +103,10 @@ def player_360(events: DataFrame, history: DataFrame, as_of: Column) -> DataFram
         as_double("membership").alias("membership_spend"),
         F.col("platforms_used").cast("long").alias("platforms_used"),
         "console_families",
-        age("last_purchase_at").alias("recency_days"),
-        age("first_purchase_at").alias("tenure_days"),
+        _days_before(as_of, "last_purchase_at").alias("recency_days"),
+        _days_before(as_of, "first_purchase_at").alias("tenure_days"),
         ratio("digital", "lifetime").alias("digital_share"),
-        (age("last_purchase_at") > CHURN_AFTER_DAYS).cast("int").alias("is_churned"),
+        _churned(as_of, "last_purchase_at").alias("is_churned"),
     )
     return scored.join(current_subscription(history), "player_id", "left")
 

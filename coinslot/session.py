@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session. Skewed joins are split at run time, also
@@ -57,3 +58,13 @@ def materialise(df, purpose: str):
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_stored(spark: SparkSession, schema: str, path: str, fmt: str = "parquet"):
+    """A control folder that may not have been written yet: then it is empty."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

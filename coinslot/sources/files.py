@@ -16,8 +16,11 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from coinslot.session import read_stored
+
 FILES_PER_TRIGGER = 256
 RESCUED = "_rescued_data"
+GENERATIONS = "generation int, body string"
 LINEAGE = ["_source_file", "_ingested_at", "_dataset_key"]
 WIDENING = [IntegerType(), LongType(), DoubleType()]
 
@@ -39,14 +42,9 @@ def evolve_schema(known: StructType | None, seen: StructType) -> StructType:
 
 
 def load_schema(spark: SparkSession, store: str) -> StructType | None:
-    """The newest stored schema generation."""
-    try:
-        rows = spark.read.schema("generation int, body string").json(store)
-        newest = rows.orderBy(F.desc("generation")).first()
-    except Exception as error:  # noqa: BLE001 - only a missing folder means "no schema yet"
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
+    """The newest stored schema generation, None before the first."""
+    rows = read_stored(spark, GENERATIONS, store, "json")
+    newest = rows.orderBy(F.desc("generation")).first()
     return StructType.fromJson(json.loads(newest["body"])) if newest else None
 
 
@@ -56,8 +54,9 @@ def track_schema(spark: SparkSession, sample: str, store: str) -> StructType:
     seen = spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
     merged = evolve_schema(known, seen)
     if merged != known:
-        generation = 0 if known is None else spark.read.json(store).agg(F.max("generation")).first()[0] + 1
-        row = spark.createDataFrame([(generation, merged.json())], "generation int, body string")
+        last = read_stored(spark, GENERATIONS, store, "json").agg(F.max("generation")).first()[0]
+        generation = 0 if last is None else last + 1
+        row = spark.createDataFrame([(generation, merged.json())], GENERATIONS)
         row.coalesce(1).write.mode("append").json(store)
     return merged
 

@@ -151,3 +151,25 @@ def test_maintenance_isolates_failures(spark):
     outcome = layout.maintain(spark, ["no_such_table", "maintained"])
     assert outcome["maintained"] == "ok" and outcome["no_such_table"].startswith("failed")
     assert spark.table("maintained").count() == 100
+
+
+def test_append_is_strict_unless_told(spark, folder):
+    path = f"{folder}/t"
+    layout.append(spark.createDataFrame([(1,)], "a int"), path)
+    layout.append(spark.createDataFrame([(2,)], "a int"), path)
+    wider = spark.createDataFrame([(3, "x")], "a int, b string")
+    with pytest.raises(ValueError, match="schema mismatch"):
+        layout.append(wider, path)
+    with pytest.raises(ValueError, match="schema mismatch"):
+        layout.append(spark.createDataFrame([("x",)], "a string"), path, evolve=True)
+    layout.append(wider, path, evolve=True)
+    assert sorted(map(tuple, layout.read_evolved(spark, path).collect())) == [(1, None), (2, None), (3, "x")]
+
+
+def test_missing_broker_connector_is_reported(spark):
+    from coinslot.sources import brokers
+
+    with pytest.raises(Exception, match="kafka"):
+        brokers.kafka_messages(spark, "localhost:9092", "t", security_protocol="SASL_SSL")
+    with pytest.raises(Exception, match="pubsub"):
+        brokers.pubsub_messages(spark, "p", "s")

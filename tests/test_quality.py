@@ -66,7 +66,7 @@ def test_row_failing_two_rules_lists_both(events):
     rules = [q.Expectation("one", "event_id <> 'b'", "warn"), q.Expectation("two", "unit_price > 0", "warn")]
     result = q.apply_expectations(events, rules)
     assert {r.event_id: r._dq_failed_rules for r in result.quarantine.collect()} == {"b": ["one", "two"], "c": ["two"]}
-    assert {r.rule: r.failures for r in q.rule_counts(result).collect()} == {"one": 1, "two": 2}
+    assert {r.rule: r.failures for r in q.rule_counts(result, rules).collect()} == {"one": 1, "two": 2}
 
 
 def test_rerun_does_not_double_the_quarantine(spark, events, folder):
