@@ -202,7 +202,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                  / count(*) OVER (w ROWS BETWEEN 27 PRECEDING AND CURRENT ROW) AS revenue_roll_28,
                (dayofweek(ds) + 1)::INTEGER AS dow, month(ds)::INTEGER AS month,
                (month(ds) IN (11, 12))::INTEGER AS is_holiday_season
-             FROM (SELECT occurred_at::DATE AS ds, platform_code, channel_type,
+             FROM (SELECT date_trunc('day', occurred_at)::TIMESTAMP AS ds, platform_code, channel_type,
                sum(net_revenue::DECIMAL(18,4)) AS rev, count(*) AS transactions FROM sev GROUP BY ALL)
              WINDOW w AS (PARTITION BY platform_code, channel_type ORDER BY ds))
            WHERE revenue_lag_28 IS NOT NULL""",
@@ -455,12 +455,22 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "stream_events_bronze": (
         ("good",),
         """SELECT event_id, player_id, platform, channel_code, occurred_at, quantity, unit_price, discount_pct,
-             occurred_at::DATE AS event_date FROM good""",
+             date_trunc('day', occurred_at)::TIMESTAMP AS event_date FROM good""",
     ),
     "stream_dedup": ((), "SELECT * FROM events"),
     "stream_restart": ((), "SELECT * FROM events"),
     "rt_revenue": (("slid",), "SELECT * FROM slid"),
     "rt_revenue_panes": (("slid",), "SELECT * FROM slid"),
+    "late_data": (
+        ("good",),
+        """SELECT window_start, window_end, platform, channel_code, sum(net_revenue::DECIMAL(18,4))::DOUBLE AS net_revenue
+           FROM (SELECT *, window_start + INTERVAL 60 SECOND AS window_end FROM (
+             SELECT *, time_bucket(INTERVAL 15 SECOND, occurred_at) - to_seconds(15 * i) AS window_start
+             FROM good CROSS JOIN range(4) t(i)))
+           WHERE src_id % 10 <> 9 OR window_end + INTERVAL 300 SECOND
+             > (SELECT max(occurred_at) FROM good WHERE src_id % 10 <> 9)
+           GROUP BY window_start, window_end, platform, channel_code""",
+    ),
     "parse_with_dlq": (
         ("msg", "good"),
         """SELECT event_id, net_revenue, NULL::VARCHAR AS error FROM good

@@ -42,12 +42,13 @@ def named(name: str):
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame], name: str | None = None):
-    """Registers a query; timestamps leave without a zone, as the parquet tables hold them."""
+    """Registers a query. Timestamps leave without a zone, as the parquet tables hold them; dates as
+    midnight, so both engines hand out the same Python type."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fn(tune(spark), sf_dir)
         return df.select(
-            *[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes]
+            *[F.col(c).cast("timestamp_ntz").alias(c) if t in ("timestamp", "date") else F.col(c) for c, t in df.dtypes]
         )
 
     QUERIES[name or fn.__name__] = run
@@ -457,6 +458,20 @@ def rt_revenue_panes(spark, sf):
     return windows.panes_total(sink.panes())
 
 
+@query
+def late_data(spark, sf):
+    """Every tenth event arrives in a second landing. It still counts in windows that closed less than
+    the allowed lateness before the newest event of the first landing, and is dropped otherwise."""
+    root = shared_dir(spark, "late")
+    rows, sink = read(spark, sf, "events"), windows.PaneSink(spark, f"{root}/panes")
+    for landing, part in enumerate((F.col("event_id") % 10 != 9, F.col("event_id") % 10 == 9)):
+        rows.filter(part).write.parquet(f"{root}/landing/part={landing}")
+        source = spark.readStream.schema(rows.schema).parquet(f"{root}/landing/*")
+        good, _ = stream_events.parse_with_dlq(views.purchase_messages(source))
+        runs.finish(runs.each_batch(good, sink, f"{root}/checkpoint"))
+    return windows.panes_total(sink.panes())
+
+
 @query
 def parse_with_dlq(spark, sf):
     """Both outputs of the split, written per batch from one evaluation and read back."""

@@ -104,7 +104,7 @@ def newest_rank(
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
     sliced = _slice(df, hot, keys, order)
     inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*ordering))
-    later = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sliced.filter("_hot").groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
     newer = sizes.select(*keys, "_slice", F.sum("_n").over(later).alias("_newer"))
     joined = _with_summary(sliced.withColumn(out, inside), newer, keys)

@@ -102,13 +102,13 @@ def sequence_windows(series: DataFrame, features: list[str] | None = None, keep_
     names = features or SEQUENCE_FEATURES
     by_day = Window.partitionBy(*SERIES).orderBy("ds")
     past, future = by_day.rowsBetween(1 - LOOKBACK, 0), by_day.rowsBetween(1, HORIZON)
-    ahead = F.count("*").over(by_day.rowsBetween(1, Window.unboundedFollowing))
+    length = F.count("*").over(Window.partitionBy(*SERIES))
     needed = HORIZON if keep_last else HORIZON + 1
     cut = series.select(
         *SERIES,
         F.col("ds").alias("last_ds"),
         F.row_number().over(by_day).alias("_seen"),
-        ahead.alias("_ahead"),
+        (length - F.row_number().over(by_day)).alias("_ahead"),
         *[F.collect_list(F.col(n).cast("float")).over(past).alias(f"x_{n}") for n in names],
         F.collect_list(F.col("revenue").cast("float")).over(future).alias("y"),
     )
