@@ -21,6 +21,11 @@ PURCHASE_EVENT = struct(
     "membership_tier string, producer_version string"
 )
 
+# The bronze table: the event, when the broker had it, when it was taken in, and its day.
+BRONZE_EVENT = StructType(
+    [*PURCHASE_EVENT.fields, *struct("broker_ts timestamp, _ingested_at timestamp, event_date date").fields]
+)
+
 # Payload columns per captured entity, key first, all text on the wire.
 CDC_PAYLOADS = {
     "orders": "order_id player_id channel_code platform order_status order_total currency created_at updated_at",

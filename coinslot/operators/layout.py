@@ -7,6 +7,7 @@ import math
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from coinslot.session import shared_dir
 
@@ -23,6 +24,14 @@ def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None
     placed.sortWithinPartitions(*keys).write.mode("errorifexists").parquet(path)
 
 
+def declare(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Creates an empty parquet table in the shared folder, unless it exists."""
+    if not spark.catalog.tableExists(table):
+        path = shared_dir(spark, table.replace(".", "-"))
+        spark.createDataFrame([], schema).write.parquet(path)
+        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+
+
 def append(df: DataFrame, path: str, evolve: bool = False) -> None:
     """Appends to a parquet folder. Strict by default: the columns and types must be the stored ones.
 

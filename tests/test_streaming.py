@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from coinslot.model.schemas import BRONZE_EVENT
+from coinslot.operators import layout
 from coinslot.sources.brokers import file_messages
 from coinslot.streaming import events, monitor, runs, windows
 
@@ -140,3 +142,25 @@ def test_lag_report(spark):
     seen = F.lit(T0 + timedelta(seconds=300))
     got = {r.s: (r.lag_seconds, r.breached) for r in monitor.lag_report(df, "s", "t", seen, "prod").collect()}
     assert got == {"a": (300, False), "b": (3900, True)}
+
+
+def test_stream_into_a_declared_table(spark, folder):
+    layout.declare(spark, "bronze_events", BRONZE_EVENT)
+    layout.declare(spark, "bronze_events", BRONZE_EVENT)
+    land(f"{folder}/in", "a.json", [message(1), message(2, 5)])
+    bronze = events.bronze_events(file_messages(spark, f"{folder}/in")).select(*BRONZE_EVENT.names)
+    runs.finish(runs.append_table(bronze, "bronze_events", f"{folder}/cp", interval=None))
+    spark.catalog.refreshTable("bronze_events")
+    table = spark.table("bronze_events")
+    assert table.columns == BRONZE_EVENT.names
+    assert sorted(r.event_id for r in table.collect()) == ["E1", "E2"]
+
+
+def test_continuous_trigger_stops_on_request(spark, folder):
+    land(f"{folder}/in", "a.json", [message(1)])
+    bronze = events.bronze_events(file_messages(spark, f"{folder}/in"))
+    query = runs.append_files(bronze, f"{folder}/out", f"{folder}/cp", interval="1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert spark.read.parquet(f"{folder}/out").count() == 1
