@@ -157,11 +157,15 @@ def empty_tables(counts: dict[str, DataFrame]) -> DataFrame:
 
 
 def recent_failures(quarantine: DataFrame, at: str, as_of: str, days: int = 1) -> DataFrame:
-    """Quarantined rows per rule in the last ``days`` before ``as_of``."""
+    """Quarantined rows per rule in the last ``days`` before ``as_of``.
+
+    The outer explode loses nothing, as each row has a failed rule; the inner one would push the
+    computation of the names below every join to test that they are not empty.
+    """
     since = F.col(at) > F.expr(f"{as_of} - INTERVAL {days} DAYS")
     return (
         quarantine.filter(since & (F.col(at) <= F.expr(as_of)))
-        .select(F.explode(FAILED).alias("rule"))
+        .select(F.explode_outer(FAILED).alias("rule"))
         .groupBy("rule")
         .agg(F.count("*").alias("failures"))
     )
