@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coinslot.llm import byte_bpe, exact_dedup, license_scan, packing, pii, quality, token_counts, token_store, topk
+from coinslot.llm import byte_bpe, exact_dedup, jaccard_join, license_scan, packing, pii, quality, token_counts, token_store, topk
 from coinslot.llm.rows import documents
 from coinslot.session import shared_dir
 
@@ -18,6 +18,10 @@ WORDS = "word_bpe_49k.json"
 END, MARK = 2, 49407
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORDS)
     return token_counts.token_counts(documents(spark, sf_dir), shared_dir(spark, "flat-tokens"), path, MARK)
@@ -73,7 +77,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_token_counts, op3_byte_bpe, op4_token_store, op5_packing, op6_quality, op7_exact_dedup,
+        op1_ngram_jaccard, op2_token_counts, op3_byte_bpe, op4_token_store, op5_packing, op6_quality, op7_exact_dedup,
         op8_license_scan, op9_pii, op10_topk,
     )
 }
