@@ -24,7 +24,8 @@ from coinslot.llm.rows import filled, slices, text_bytes
 MAX_TRAIN = 6000
 BUCKETS = 1 << 16
 DIM = 8
-EPOCHS = 4
+#: Passes over the sample, and steps at least: a small sample is passed more often.
+EPOCHS, STEPS = 4, 6000
 RATE = 0.5
 #: Lengths of character n-grams, in bytes.
 NGRAMS = (3, 4, 5)
@@ -108,8 +109,9 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarra
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
-    steps, done = EPOCHS * len(bags), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // len(bags)))
+    steps, done = epochs * len(bags), 0
+    for _ in range(epochs):
         for k in random.permutation(len(bags)):
             rows, weights = bags[k]
             rate = RATE * (1 - done / steps)
