@@ -121,7 +121,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT 'S' || o_custkey AS _pk,
              CASE WHEN o_orderkey % 17 = 0 THEN 'd' WHEN o_orderstatus = 'O' THEN 'c' ELSE 'u' END AS _op,
-             date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::BIGINT * 1000000 + o_orderkey AS _lsn,
+             date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::BIGINT * 10000000000000 + o_orderkey AS _lsn,
              o_orderdate AS _committed_at, 'S' || o_custkey AS subscription_id, o_custkey::VARCHAR AS player_id,
              o_orderpriority AS membership_tier,
              CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'CANCELLED' ELSE 'LAPSED' END AS status,
@@ -241,7 +241,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("ssales",),
         """SELECT title, platform_code, era, genre, publisher, global_sales_musd FROM ssales s
            WHERE NOT EXISTS (SELECT 1 FROM ssales d WHERE d.generation <= 7 AND d.title = s.title AND d.platform_code = s.platform_code)
-           ORDER BY global_sales_musd DESC, title, platform_code, era, genre, publisher LIMIT 5000""",
+           ORDER BY global_sales_musd DESC, title, platform_code, era, genre, publisher""",
     ),
     "docs": (
         (),
@@ -515,6 +515,18 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
            FROM (SELECT player_id, round(1 / (1 + exp(-(0.4 + 0.01 * recency_days::DOUBLE - 0.0002 * tenure_days::DOUBLE - 0.1 * log_ltv))), 6) AS p FROM fplayer)
            WHERE player_id = '1'""",
     ),
+    "churn_model": (("p360",), "SELECT player_id, TRUE AS scored FROM p360"),
+    "recommend_als": (
+        ("inter",),
+        """SELECT player_id, least(10, 50 - own)::BIGINT AS items, least(10, 50 - own)::BIGINT AS last_rank, least(10, 50 - own)::BIGINT AS titles
+           FROM (SELECT player_id, count(DISTINCT product_id) FILTER (product_id IN (SELECT product_id FROM inter GROUP BY product_id
+               ORDER BY sum(purchases) DESC, product_id LIMIT 50)) AS own FROM inter GROUP BY player_id) WHERE own < 50""",
+    ),
+    "forecast_model": (
+        ("split",),
+        "SELECT platform_code, channel_type, ds, revenue, TRUE AS made FROM split WHERE split = 'validation'",
+    ),
+    "embedding_lsh": ((), "SELECT DISTINCT label::BIGINT AS query_id, TRUE AS exact, TRUE AS half_found FROM embeddings"),
     "recall_at_k": (("recall",), "SELECT relevant, hits, recall FROM recall WHERE m = 'purchases'"),
     "promotion_gate": (
         ("recall",),
@@ -538,8 +550,7 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
              CASE WHEN reject_reason IS NULL THEN 'g' || n % 5 END AS sub_genre,
              CASE WHEN reject_reason IS NULL THEN (['LOW', 'MEDIUM', 'HIGH'])[n % 4 + 1] END AS retro_appeal
            FROM (SELECT *, CASE WHEN n % 7 = 0 THEN 'invalid json' WHEN n % 4 = 3 THEN 'invalid retro_appeal' END AS reject_reason
-             FROM (SELECT *, length('title=' || title || ' | platform=' || platform_code || ' | era=' || era || ' | genre='
-               || genre || ' | publisher=' || publisher) AS n FROM todo))""",
+             FROM (SELECT *, length(title) AS n FROM todo))""",
     ),
     "llm_json_validate": (
         (),

@@ -27,6 +27,7 @@ from coinslot.streaming import monitor, runs, windows
 
 AS_OF = "DATE '2001-12-31'"
 AS_OF_TS = "TIMESTAMP '2001-12-31 00:00:00'"
+LSH_REACH = 6.5
 WEIGHTS = churn.LogisticWeights(intercept=0.4, recency_days=0.01, tenure_days=-0.0002, log_ltv=-0.1)
 
 EVENT_FIELDS = (
@@ -291,7 +292,7 @@ def scd2_point_in_time_join(spark, sf):
     )
     stored = materialise(facts, "facts")
     return scd2.point_in_time_join(
-        stored, history(spark, sf), "subscription_id", "occurred_at", ["_lsn", "membership_tier", "status"]
+        stored, materialise(history(spark, sf), "history"), "subscription_id", "occurred_at", ["_lsn", "membership_tier", "status"]
     ).drop("player_id")
 
 
@@ -302,7 +303,7 @@ def gold_membership_mrr(spark, sf):
 
 @query
 def gold_membership_movements(spark, sf):
-    return gold.membership_movements(history(spark, sf))
+    return gold.membership_movements(history(spark, sf), log=flat_changes(spark, sf))
 
 
 @named("append_dedup")
@@ -558,17 +559,23 @@ def lookup_player_churn(spark, sf):
 
 @query
 def churn_model(spark, sf):
+    """Trained on older players, applied to all: every player has a chance between 0 and 1, whatever is missing."""
     rows = materialise(features.player_features(player_360(spark, sf)), "players")
-    return churn.apply_churn(churn.fit_churn(rows), rows).select("player_id", "churn_probability", "risk_band")
+    training, _ = churn.holdout(rows)
+    scored = churn.apply_churn(churn.fit_churn(training), rows)
+    return scored.select("player_id", F.col("churn_probability").between(0, 1).alias("scored"))
 
 
 @query
 def recommend_als(spark, sf):
+    """Ten titles per player out of the fifty most bought that the player does not have; how many each got."""
     pairs = materialise(features.interactions(silver_events(spark, sf)), "pairs")
     labels = pairs.select("player_id", F.lit(0).alias("is_churned")).distinct()
     training = materialise(recommend.training_set(pairs, labels), "training")
-    scored = recommend.fit_recommender(training).transform(training)
-    return scored.select("player_id", "product_id", "prediction")
+    top = recommend.top_items(training, recommend.popular_items(pairs, "purchases", 50), recommend.fit_recommender(training), 10)
+    return top.groupBy("player_id").agg(
+        F.count("*").alias("items"), F.max("rank").cast("long").alias("last_rank"), F.countDistinct("product_id").alias("titles")
+    )
 
 
 @query
@@ -605,8 +612,10 @@ def forecast_errors(spark, sf):
 
 @query
 def forecast_model(spark, sf):
+    """A forecast for every validation day, from what is known a horizon ahead."""
     split = materialise(series_split(spark, sf), "split")
-    return forecast.apply_forecast(forecast.fit_forecast(split), split)
+    made = forecast.apply_forecast(forecast.fit_forecast(split), split)
+    return made.select("platform_code", "channel_type", "ds", "revenue", (F.col("forecast").isNotNull() & ~F.isnan("forecast")).alias("made"))
 
 
 # ---- catalog and vectors ---------------------------------------------------------------------
@@ -617,8 +626,12 @@ def todo(spark, sf):
     return catalog.enrichment_todo(sales, sales.filter("generation <= 7"))
 
 
-def stub_completion(prompt: str, instruction: str) -> str:
-    """Stands in for a model client: the answer depends on the prompt's length only."""
+def stub_completions(prompts: list[str], instruction: str) -> list[str]:
+    """Stands in for a model client: an answer depends on the title's length only."""
+    return [stub_completion(json.loads(p)["title"]) for p in prompts]
+
+
+def stub_completion(prompt: str) -> str:
     appeal = ["LOW", "MEDIUM", "HIGH", "NONE"][len(prompt) % 4]
     text = json.dumps({"sub_genre": f"g{len(prompt) % 5}", "retro_appeal": appeal, "themes": ["a"]})
     return text if len(prompt) % 7 else text[:10]
@@ -635,7 +648,7 @@ def enrichment_todo(spark, sf):
 
 @query
 def catalog_enrich(spark, sf):
-    done = catalog.enrich(todo(spark, sf), stub_completion, pause=0.0)
+    done = catalog.enrich(todo(spark, sf), stub_completions, pause=0.0)
     return done.select(
         *catalog.PROMPT_FIELDS, "reject_reason", F.col("enrichment.sub_genre").alias("sub_genre"),
         F.col("enrichment.retro_appeal").alias("retro_appeal"),
@@ -690,4 +703,13 @@ def embedding_topk(spark, sf):
 
 @query
 def embedding_lsh(spark, sf):
-    return similarity.lsh_matches(read(spark, sf, "embeddings"), label_centroids(spark, sf), 8.0, "vec_id")
+    """Per query, the approximate matches against the exact distances: all within the threshold and right."""
+    rows, asked = read(spark, sf, "embeddings"), label_centroids(spark, sf)
+    found = similarity.lsh_matches(rows, asked, LSH_REACH, "vec_id", bucket_length=1.0, tables=6)
+    exact = similarity.squared_distances(rows, asked, "vec_id")
+    both = exact.join(found, ["query_id", "vec_id"], "left")
+    near = F.col("squared") <= LSH_REACH**2
+    return both.groupBy(F.col("query_id").cast("long").alias("query_id")).agg(
+        F.coalesce(F.bool_and(F.when(F.col("distance").isNotNull(), F.abs(F.col("distance") - F.sqrt("squared")) < 1e-4)), F.lit(True)).alias("exact"),
+        (F.count_if(near & F.col("distance").isNotNull()) >= 0.5 * F.count_if(near)).alias("half_found"),
+    )

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from coinslot.plans.features import SEQUENCE_FEATURES, SERIES
 
-# Only what is known when the forecast is made: the day's own revenue and the means over it are not.
-INPUTS = [c for c in SEQUENCE_FEATURES if c != "revenue" and not c.startswith("revenue_roll")]
+# Only what is known a horizon ahead: the calendar, and lags of at least HORIZON rows.
+HORIZON = 28
+INPUTS = [
+    c for c in SEQUENCE_FEATURES
+    if not c.startswith("revenue") or (c.startswith("revenue_lag_") and int(c.rsplit("_", 1)[1]) >= HORIZON)
+]
 
 
 def seasonal_baseline(split: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def fit_recommender(training: DataFrame, rank: int = 16, iterations: int = 5) ->
     """Codes must fit an int, as the factoriser's ids do."""
     als = ALS(
         userCol="player_code", itemCol="item_code", ratingCol="confidence", implicitPrefs=True,
-        rank=rank, maxIter=iterations, seed=42, coldStartStrategy="drop",
+        rank=rank, maxIter=iterations, seed=42, coldStartStrategy="nan",
     )
     ints = training.withColumns({c: F.col(c).cast("int") for c in ("player_code", "item_code")})
     return als.fit(ints)
@@ -50,3 +50,22 @@ def popular_items(interactions: DataFrame, by: str, k: int) -> DataFrame:
     """Top-k items by a summed column: the report a recommender has to beat."""
     totals = interactions.groupBy("product_id").agg(F.sum(F.col(by).cast("decimal(18,4)")).alias("total"))
     return totals.orderBy(F.desc("total"), "product_id").limit(k).select("product_id")
+
+
+def top_items(training: DataFrame, items: DataFrame, model: ALSModel, k: int) -> DataFrame:
+    """The ``k`` best of a short item list per player, without what the player has: player, item, score, rank.
+
+    The list is the caller's report of popular items: it is collected and repeated per player, so a player
+    has as many rows as the list at most. Players or items the model does not know score 0.
+    """
+    listed = [r[0] for r in items.select("product_id").collect()]
+    players = training.select("player_id", "player_code").distinct()
+    codes = training.select("product_id", "item_code").distinct()
+    asked = players.withColumn("product_id", F.explode(F.array(*[F.lit(i) for i in listed])))
+    fresh = asked.join(training.select("player_id", "product_id"), ["player_id", "product_id"], "left_anti").join(codes, "product_id", "left")
+    scored = model.transform(fresh.withColumns({c: F.col(c).cast("int") for c in ("player_code", "item_code")}))
+    scored = scored.withColumn("prediction", F.coalesce(F.nanvl("prediction", F.lit(0.0)), F.lit(0.0)))
+    order = Window.partitionBy("player_id").orderBy(F.desc("prediction"), "product_id")
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+        "player_id", "product_id", "prediction", "rank"
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERIES = 10_000
+#: Query vectors that are sent to the tasks at once, and catalog rows in one product.
+QUERY_BLOCK, ROWS = 1024, 2048
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
@@ -23,11 +25,17 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
     )
 
 
-def _local_query(queries: DataFrame) -> tuple[list, np.ndarray]:
-    rows = queries.select("query_id", "embedding").orderBy("query_id").limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors: call once per slice of the query list")
-    return [r[0] for r in rows], np.array([r[1] for r in rows], dtype="float64")
+def _query_blocks(queries: DataFrame) -> Iterator[tuple[list, np.ndarray]]:
+    """The queries in order of their id, a block at a time on the driver."""
+    ids, vectors = [], []
+    for row in queries.select("query_id", "embedding").orderBy("query_id").toLocalIterator():
+        ids.append(row[0])
+        vectors.append(row[1])
+        if len(ids) == QUERY_BLOCK:
+            yield ids, np.array(vectors, dtype="float64")
+            ids, vectors = [], []
+    if ids:
+        yield ids, np.array(vectors, dtype="float64")
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,28 +48,37 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def cosine_topk(catalog: DataFrame, queries: DataFrame, k: int, id_column: str, vector: str = "embedding") -> DataFrame:
-    """Exact top-k by cosine. Every task scores its rows against all queries in one matrix product
+    """Exact top-k by cosine. Every task scores its rows against a block of queries in matrix products
     and passes on k rows per query, so the shuffle does not grow with the catalog's rows.
 
-    ``queries`` (query_id bigint, embedding) is the caller's short list, checked before shipping.
+    ``queries`` (query_id bigint, embedding) may have any length: it is worked through in blocks, each a
+    pass over the catalog. Catalog vectors of another length or without direction have no cosine.
     """
-    query_ids, matrix = _local_query(queries)
+    parts = [_block_topk(catalog, ids, matrix, id_column, vector, k) for ids, matrix in _query_blocks(queries)]
+    if not parts:
+        return catalog.sparkSession.createDataFrame([], f"query_id bigint, {id_column} bigint, similarity double, rank int")
+    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), id_column)
+    ranked = reduce(DataFrame.unionAll, parts).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k)
+
+
+def _block_topk(catalog: DataFrame, query_ids: list, matrix: np.ndarray, id_column: str, vector: str, k: int) -> DataFrame:
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
     shipped = catalog.sparkSession.sparkContext.broadcast(unit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shipped.value
         best = [(np.empty(0, dtype="int64"), np.empty(0)) for _ in query_ids]
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype("float64")
-            norms = np.linalg.norm(rows, axis=1)
-            ids, rows, norms = ids[norms > 0], rows[norms > 0], norms[norms > 0]
-            scores = np.round((rows @ q.T) / norms[:, None], 6)
-            for j, (seen_ids, seen) in enumerate(best):
-                best[j] = _best(np.concatenate([seen_ids, ids]), np.concatenate([seen, scores[:, j]]), k)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype("float64")
+                norms = np.linalg.norm(rows, axis=1)
+                ids, rows, norms = ids[norms > 0], rows[norms > 0], norms[norms > 0]
+                scores = np.round((rows @ q.T) / norms[:, None], 6)
+                for j, (seen_ids, seen) in enumerate(best):
+                    best[j] = _best(np.concatenate([seen_ids, ids]), np.concatenate([seen, scores[:, j]]), k)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(query_ids, [len(i) for i, _ in best]), pa.int64()),
@@ -72,9 +89,14 @@ def cosine_topk(catalog: DataFrame, queries: DataFrame, k: int, id_column: str,
         )
 
     usable = catalog.filter(F.size(vector) == matrix.shape[1]).select(F.col(id_column).cast("long"), vector)
-    partial = usable.mapInArrow(run, f"query_id bigint, {id_column} bigint, similarity double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), id_column)
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return usable.mapInArrow(run, f"query_id bigint, {id_column} bigint, similarity double")
+
+
+def squared_distances(catalog: DataFrame, queries: DataFrame, id_column: str, vector: str = "embedding") -> DataFrame:
+    """Squared distance of every catalog row to every query of a short list, summed by dimension."""
+    cells = catalog.select(F.col(id_column), F.posexplode(F.col(vector).cast("array<double>")).alias("pos", "x"))
+    asked = queries.select("query_id", F.posexplode("embedding").alias("pos", "y"))
+    return cells.join(asked, "pos").groupBy("query_id", id_column).agg(F.sum((F.col("x") - F.col("y")) ** 2).alias("squared"))
 
 
 def lsh_matches(

@@ -132,6 +132,10 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Room for the order keys of a day in its LSNs: keys stay far below it at any scale.
+LSN_STEP = 10_000_000_000_000
+
+
 def subscription_changes(orders: DataFrame) -> DataFrame:
     """Change envelopes of the subscription entity from the order history (batch or stream).
 
@@ -140,7 +144,7 @@ def subscription_changes(orders: DataFrame) -> DataFrame:
     """
     committed = F.col("o_orderdate").cast("timestamp")
     millis = F.unix_millis(committed)
-    lsn = F.unix_date(F.to_date(committed)).cast("long") * 1_000_000 + F.col("o_orderkey")
+    lsn = F.unix_date(F.to_date(committed)).cast("long") * LSN_STEP + F.col("o_orderkey")
     payload = F.struct(
         F.concat(F.lit("S"), F.col("o_custkey")).alias("subscription_id"),
         F.col("o_custkey").cast("string").alias("player_id"),

@@ -6,6 +6,7 @@ bit mask; rule names are only spelled out for failing rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -115,12 +116,14 @@ def run_expectations(
     quarantine_path: str,
     policy: str = "warn",
     mode: str = "reference",
-    run_id: str = "0",
+    run_id: str | None = None,
 ) -> DataFrame:
     """Evaluates the input once: stores the flagged rows, appends quarantine, enforces hard rules.
 
-    The quarantine folder of ``run_id`` is overwritten, so a retried run does not count twice.
+    The quarantine folder of ``run_id`` is overwritten, so a retried run does not count twice. Without one
+    each call is a run of its own and adds to the quarantine.
     """
+    run_id = run_id or uuid.uuid4().hex
     spark = df.sparkSession
     stage = shared_dir(spark, "dq")
     flagged = df.withColumn(MASK, _mask(rules))

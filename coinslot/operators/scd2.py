@@ -132,8 +132,8 @@ def point_in_time_join(
         F.col("_lsn").alias("_seq"), version.alias("_version"),
     )
     timeline = events.unionByName(starts, allowMissingColumns=True)
-    moments = events.select("_k", "_at").unionByName(history.select(F.col("_pk").alias("_k"), F.col("valid_from").alias("_at")))
-    hot = find_hot_keys(moments, ["_k"], "_at", max_group_rows)
+    order = ["_k", "_at", "_kind", "_seq"]
+    hot = find_hot_keys(events.select(*order).unionByName(starts.select(*order)), ["_k"], "_at", max_group_rows, order[2:])
     filled = last_known(timeline, ["_k"], "_at", ["_kind", "_seq"], "_version", "_seen", hot)
     alive = (F.col("_seen.valid_to").isNull() | (F.col("_at") < F.col("_seen.valid_to"))) & ~F.col("_seen.is_deleted")
     return filled.filter("_kind = 1").select(

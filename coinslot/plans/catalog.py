@@ -17,51 +17,66 @@ from coinslot.model.schemas import ENRICHMENT, RETRO_APPEAL
 CATALOG_KEY = ["title", "platform_code"]
 PROMPT_FIELDS = ["title", "platform_code", "era", "genre", "publisher"]
 
+# The answer's contract is the schema; the instruction states it and nothing else.
 INSTRUCTION = (
-    "You describe video games for a shop catalog. Answer each title with a single JSON object and nothing "
-    "around it. Its fields: sub_genre, a text; franchise, a text or null; retro_appeal, exactly LOW, MEDIUM "
-    "or HIGH; audience, a text; themes, a list of no more than four texts."
+    f"Reply with one JSON object per request, matching {ENRICHMENT.simpleString()} "
+    f"with retro_appeal in {'/'.join(RETRO_APPEAL)}."
 )
 
 
-def enrichment_todo(source: DataFrame, done: DataFrame | None, n: int = 5000) -> DataFrame:
-    """The best-selling titles not enriched yet."""
+def enrichment_todo(source: DataFrame, done: DataFrame | None, n: int | None = None) -> DataFrame:
+    """The titles not enriched yet; with ``n`` the ``n`` best-selling of them."""
     todo = source.select(*PROMPT_FIELDS, "global_sales_musd")
     if done is not None:
         todo = todo.join(done.select(*CATALOG_KEY), CATALOG_KEY, "left_anti")
-    return todo.orderBy(F.desc("global_sales_musd"), *[F.asc(c) for c in PROMPT_FIELDS]).limit(n)
+    return todo if n is None else todo.orderBy(F.desc("global_sales_musd"), *[F.asc(c) for c in PROMPT_FIELDS]).limit(n)
 
 
 def prompt_text():
-    labels = {"title": "title", "platform_code": "platform", "era": "era", "genre": "genre", "publisher": "publisher"}
-    parts = [F.concat(F.lit(f"{label}="), F.coalesce(F.col(c), F.lit(""))) for c, label in labels.items()]
-    return F.concat_ws(" | ", *parts)
+    """The prompt fields as JSON; absent ones are left out."""
+    return F.to_json(F.struct(*PROMPT_FIELDS))
 
 
-def _ask(complete: Callable[[str, str], str], prompt: str, tries: int, pause: float) -> tuple[str | None, str | None]:
+def _ask(
+    complete: Callable[[list[str], str], list[str]], prompts: list[str], tries: int, pause: float
+) -> list[tuple[str | None, str | None]]:
+    """Answers of one call for several prompts; a call that keeps failing is an error of each of them."""
     for attempt in range(tries):
         try:
-            return complete(prompt, INSTRUCTION), None
+            answers = complete(prompts, INSTRUCTION)
+            if len(answers) != len(prompts):
+                raise ValueError(f"{len(answers)} answers to {len(prompts)} prompts")
+            return [(answer, None) for answer in answers]
         except Exception as error:  # noqa: BLE001 - a model client may raise anything
             message = str(error)
             if attempt + 1 < tries:
                 time.sleep(pause * 2**attempt)
-    return None, message
+    return [(None, message)] * len(prompts)
 
 
 def complete_catalog(
-    todo: DataFrame, complete: Callable[[str, str], str], tries: int = 3, pause: float = 1.0, parallelism: int = 32
+    todo: DataFrame, complete: Callable[[list[str], str], list[str]], tries: int = 3, pause: float = 1.0,
+    prompts_per_call: int = 32, parallelism: int | None = None,
 ) -> DataFrame:
-    """``todo`` plus ``raw`` (the completion) and ``call_error``. Calls run in parallel tasks."""
+    """``todo`` plus ``raw`` (the completion) and ``call_error``.
+
+    Each task calls with a list of prompts at a time. ``parallelism`` bounds how many tasks call at once,
+    where the model's owner asks for it; otherwise the session's shuffle setting decides.
+    """
     columns = todo.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [_ask(complete, p, tries, pause) for p in batch["_prompt"]]
+            prompts = batch["_prompt"].tolist()
+            answers = [
+                pair for i in range(0, len(prompts), prompts_per_call)
+                for pair in _ask(complete, prompts[i : i + prompts_per_call], tries, pause)
+            ]
             yield batch[columns].assign(raw=[a for a, _ in answers], call_error=[e for _, e in answers])
 
     schema = StructType([*todo.schema.fields, *[StructField(c, StringType()) for c in ("raw", "call_error")]])
-    asked = todo.withColumn("_prompt", prompt_text()).repartition(parallelism, *CATALOG_KEY)
+    asked = todo.withColumn("_prompt", prompt_text())
+    asked = asked.repartition(parallelism, *CATALOG_KEY) if parallelism else asked.repartition(*CATALOG_KEY)
     return asked.mapInPandas(run, schema)
 
 
@@ -79,7 +94,7 @@ def validate_completions(df: DataFrame, raw: str = "raw") -> DataFrame:
     return checked.withColumn("enrichment", usable).drop("_e")
 
 
-def enrich(todo: DataFrame, complete: Callable[[str, str], str], **options) -> DataFrame:
+def enrich(todo: DataFrame, complete: Callable[[list[str], str], list[str]], **options) -> DataFrame:
     return validate_completions(complete_catalog(todo, complete, **options))
 
 

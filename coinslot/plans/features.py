@@ -50,7 +50,7 @@ def interaction_features(events: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
     """Interactions with the recency rank per player. The reduced pairs are stored once, because
     the search for hot players reads them again."""
     pairs = materialise(interactions(events), "interactions")
-    hot = find_hot_keys(pairs, ["player_id"], "last_seen", max_group_rows)
+    hot = find_hot_keys(pairs, ["player_id"], "last_seen", max_group_rows, ["product_id"], newest_first=True)
     return newest_rank(pairs, ["player_id"], "last_seen", ["product_id"], "_rank_desc", hot)
 
 

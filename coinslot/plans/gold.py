@@ -153,15 +153,18 @@ def membership_mrr(history: DataFrame) -> DataFrame:
     )
 
 
-def membership_movements(history: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def membership_movements(
+    history: DataFrame, max_group_rows: int = MAX_GROUP_ROWS, log: DataFrame | None = None
+) -> DataFrame:
     """Extension: reactivations and expansion revenue per month, from consecutive versions.
 
     A reactivation is an ACTIVE version after one that was not; expansion is the rise of the
-    amount between two ACTIVE versions.
+    amount between two ACTIVE versions. Hot keys are looked up in ``log``, the stored changes, if given.
     """
     versions = history.withColumn("amount", F.col("mrr").cast(MONEY))
-    hot = find_hot_keys(history, ["_pk"], "_lsn", max_group_rows)
-    steps = next_in_key(versions, ["_pk"], "_lsn", ["status", "amount", "valid_from"], "_next", hot).filter(F.col("_next").isNotNull() & (F.col("_next.status") == "ACTIVE"))
+    hot = find_hot_keys(history if log is None else log, ["_pk"], "_lsn", max_group_rows)
+    linked = next_in_key(versions, ["_pk"], "_lsn", ["status", "amount", "valid_from"], "_next", hot)
+    steps = linked.filter(F.col("_next").isNotNull() & (F.col("_next.status") == "ACTIVE"))
     stays = F.col("status") == "ACTIVE"
     rise = F.col("_next.amount") - F.col("amount")
     return steps.groupBy(F.date_trunc("month", "_next.valid_from").alias("month")).agg(

@@ -37,7 +37,7 @@ def refresh_dims(spark: SparkSession, schema: str) -> None:
 
 def refresh_silver(
     spark: SparkSession, schema: str, quarantine: str, classic: DataFrame, ratings: DataFrame, events: DataFrame,
-    policy: str = "warn", run_id: str = "0",
+    policy: str = "warn", run_id: str | None = None,
 ) -> None:
     """Conforms both silver tables under their rules; a hard rule stops before anything is published."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
@@ -46,8 +46,11 @@ def refresh_silver(
         "silver_game_sales": (silver.game_sales(classic, ratings, consoles), quality.sales_rules()),
         "silver_purchase_events": (silver.purchase_events(events, channels, consoles), quality.event_rules()),
     }
-    for name, (df, rules) in jobs.items():
-        kept = quality.run_expectations(df, rules, f"{quarantine}/{name}", policy, run_id=run_id)
+    checked = {
+        name: quality.run_expectations(df, rules, f"{quarantine}/{name}", policy, run_id=run_id)
+        for name, (df, rules) in jobs.items()
+    }
+    for name, kept in checked.items():
         _publish(kept, schema, name)
 
 

@@ -30,7 +30,7 @@ def test_hot_keys_are_the_large_ones_including_null(rows):
 
 def test_slices_are_bounded(rows):
     hot = hotkeys.find_hot_keys(rows, ["k"], "id", 25)
-    sliced = hotkeys._slice(rows, hot, ["k"], "id")
+    sliced = hotkeys._slice(rows, hot, ["k"], ["id"])
     assert sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0] <= 30
     assert sliced.count() == rows.count()
 
@@ -45,7 +45,7 @@ def test_next_in_key(rows, limit):
 
 @pytest.mark.parametrize("limit", [3, 25])
 def test_newest_rank(rows, limit):
-    hot = hotkeys.find_hot_keys(rows, ["k"], "o", limit)
+    hot = hotkeys.find_hot_keys(rows, ["k"], "o", limit, ["id"], newest_first=True)
     got = hotkeys.newest_rank(rows, ["k"], "o", ["id"], "n", hot)
     plain = rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("o"), "id")))
     assert as_set(got.select(*plain.columns)) == as_set(plain)
@@ -53,8 +53,19 @@ def test_newest_rank(rows, limit):
 
 @pytest.mark.parametrize("limit", [3, 25])
 def test_last_known(rows, limit):
-    hot = hotkeys.find_hot_keys(rows, ["k"], "o", limit)
+    hot = hotkeys.find_hot_keys(rows, ["k"], "o", limit, ["id"])
     got = hotkeys.last_known(rows, ["k"], "o", ["id"], "v", "n", hot)
     w = Window.partitionBy("k").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)
     plain = rows.withColumn("n", F.last("v", ignorenulls=True).over(w))
     assert as_set(got.select(*plain.columns)) == as_set(plain)
+
+
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_ties_are_split(spark, newest_first):
+    """Two distinct days, some of them unknown: slices still stay below the limit."""
+    day = F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id") % 2)
+    rows = spark.range(20_000).select(F.lit("a").alias("k"), day.alias("o"), "id")
+    hot = hotkeys.find_hot_keys(rows, ["k"], "o", 1000, ["id"], newest_first)
+    sliced = hotkeys._slice(rows, hot, ["k"], ["o", "id"], newest_first)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert max(sizes) <= 1000 and sum(sizes) == 20_000

@@ -200,15 +200,16 @@ def test_enrichment_retries_then_rejects(spark):
     assert [r.title for r in catalog.enrichment_todo(source, None, 1).collect()] == ["a"]
     calls = []
 
-    def complete(prompt, instruction):
-        calls.append(prompt)
-        if "title=b" in prompt and len(calls) < 2:
+    def complete(prompts, instruction):
+        assert "HIGH" in instruction
+        calls.append(prompts)
+        if '"b"' in prompts[0] and len(calls) < 2:
             raise RuntimeError("busy")
-        if "title=c" in prompt:
+        if '"c"' in prompts[0]:
             raise RuntimeError("always down")
-        return '{"sub_genre": "s", "retro_appeal": "HIGH", "themes": ["x", "y"]}'
+        return ['{"sub_genre": "s", "retro_appeal": "HIGH", "themes": ["x", "y"]}' for _ in prompts]
 
-    done = catalog.enrich(source, complete, pause=0.0, parallelism=1).cache()
+    done = catalog.enrich(source, complete, pause=0.0, parallelism=1, prompts_per_call=1).cache()
     good = {r.title: r for r in catalog.accepted(done).collect()}
     assert set(good) == {"a", "b"} and good["a"].themes == ["x", "y"]
     bad = catalog.rejected(done).collect()

@@ -33,11 +33,16 @@ def test_topk_matches_brute_force_with_ties(spark):
     assert [(r.query_id, r.vec_id) for r in got] == expected
 
 
-def test_too_many_queries_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(similarity, "MAX_QUERIES", 1)
-    df = spark.createDataFrame([(1, [1.0]), (2, [1.0])], "query_id long, embedding array<double>")
-    with pytest.raises(ValueError, match="slice"):
-        similarity.cosine_topk(df.withColumnRenamed("query_id", "vec_id"), df, 1, "vec_id")
+def test_queries_are_worked_through_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 4)))]
+    catalog = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = catalog.filter("vec_id % 3 = 0").withColumnRenamed("vec_id", "query_id")
+    whole = sorted(map(tuple, similarity.cosine_topk(catalog, queries, 3, "vec_id").collect()))
+    monkeypatch.setattr(similarity, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(similarity, "ROWS", 7)
+    assert sorted(map(tuple, similarity.cosine_topk(catalog, queries, 3, "vec_id").collect())) == whole
+    assert len(whole) == 14 * 3 and similarity.cosine_topk(catalog, queries.filter("false"), 3, "vec_id").count() == 0
 
 
 def test_lsh_finds_true_neighbours_only(spark):
@@ -88,6 +93,16 @@ def test_churn_model_and_udf(spark):
     got = {r.recency_days: r for r in churn.score_churn(rows, weights).collect()}
     assert got[200].churn_probability == pytest.approx(1 / (1 + np.exp(-2.0)), abs=1e-6)
     assert (got[200].risk_band, got[10].risk_band) == ("HIGH", "MEDIUM")
+    opaque = churn.score_with(rows, lambda recency: 1 / (1 + np.exp(-0.01 * recency)), ["recency_days"])
+    assert {r.churn_probability for r in opaque.collect()} == {r.churn_probability for r in got.values()}
+
+
+def test_churn_scores_every_player_whatever_is_missing(spark):
+    rows = players(spark).withColumn("mrr", F.when(F.col("player_id") % 3 != 0, F.col("mrr")))
+    training, held = churn.holdout(rows)
+    assert training.count() + held.count() == rows.count() and not held.isEmpty()
+    scored = churn.apply_churn(churn.fit_churn(training.unionAll(held)), rows)
+    assert scored.filter("churn_probability BETWEEN 0 AND 1").count() == rows.count()
 
 
 def test_recommender_prefers_the_own_cluster(spark):
