@@ -471,6 +471,15 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
              > (SELECT max(occurred_at) FROM good WHERE src_id % 10 <> 9)
            GROUP BY window_start, window_end, platform, channel_code""",
     ),
+    "stream_late_rows": (
+        ("msg", "good"),
+        """SELECT outcome, count(*) AS n FROM (
+             SELECT CASE WHEN src_id % 10 <> 9 OR window_start + INTERVAL 360 SECOND
+               > (SELECT max(occurred_at) FROM good WHERE src_id % 10 <> 9) THEN 'kept' ELSE 'late' END AS outcome
+             FROM (SELECT *, time_bucket(INTERVAL 15 SECOND, occurred_at) - to_seconds(15 * i) AS window_start
+               FROM good CROSS JOIN range(4) t(i))
+             UNION ALL SELECT 'dead' FROM msg WHERE error IS NOT NULL) GROUP BY outcome""",
+    ),
     "parse_with_dlq": (
         ("msg", "good"),
         """SELECT event_id, net_revenue, NULL::VARCHAR AS error FROM good

@@ -22,8 +22,8 @@ from coinslot.operators.dedup import append_dedup, best_row
 from coinslot.plans import catalog, features, gold, lookups, silver
 from coinslot.session import materialise, shared_dir, tune
 from coinslot.sources import files
+from coinslot.streaming import backfill, monitor, runs, windows
 from coinslot.streaming import events as stream_events
-from coinslot.streaming import monitor, runs, windows
 
 AS_OF = "DATE '2001-12-31'"
 AS_OF_TS = "TIMESTAMP '2001-12-31 00:00:00'"
@@ -407,12 +407,21 @@ def compact_table(spark, sf):
 # ---- streaming -------------------------------------------------------------------------------
 
 
+def scattered(spark, sf, root, copies=1, files=4):
+    """The events as a stream of several files in no order of time, one file a batch, copies in other files."""
+    rows = read(spark, sf, "events").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    rows.repartition(files, F.xxhash64("event_id", "_copy")).drop("_copy").write.parquet(f"{root}/source")
+    return runs.parquet_stream(spark, f"{root}/source", max_files=1)
+
+
 @query
 def stream_events_bronze(spark, sf):
     root = shared_dir(spark, "bronze")
-    raw = views.purchase_messages(event_stream(spark, sf), copies=2).drop("src_id")
-    runs.finish(runs.append_files(stream_events.bronze_events(raw), f"{root}/table", f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/table").select(
+    raw = views.purchase_messages(scattered(spark, sf, root, copies=2)).drop("src_id")
+    good = stream_events.good_events(stream_events.parse_messages(raw)).withColumn("event_date", F.to_date("occurred_at"))
+    sink = backfill.ExactlyOnce(spark, f"{root}/table")
+    runs.finish(runs.each_batch(good, sink, f"{root}/checkpoint"))
+    return sink.table().select(
         "event_id", "player_id", "platform", "channel_code", "occurred_at", "quantity", "unit_price",
         "discount_pct", "event_date",
     )
@@ -421,48 +430,46 @@ def stream_events_bronze(spark, sf):
 @query
 def stream_dedup(spark, sf):
     root = shared_dir(spark, "dedup")
-    twice = event_stream(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    timed = twice.withColumn("ts", F.col("ts").cast("timestamp"))
-    once = stream_events.dedup_events(timed, at="ts")
-    runs.finish(runs.append_files(once, f"{root}/table", f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/table")
+    twice = scattered(spark, sf, root, copies=2)
+    sink = backfill.ExactlyOnce(spark, f"{root}/table", at="ts")
+    runs.finish(runs.each_batch(twice, sink, f"{root}/checkpoint"))
+    return sink.table()
 
 
 @query
 def stream_restart(spark, sf):
-    """The stream stops after the first landing and resumes from its checkpoint after the second."""
+    """The stream stops after the first landing and resumes from its checkpoint after the second, which
+    brings the first half again, in other files."""
     root = shared_dir(spark, "restart")
-    rows = read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    for landing, part in enumerate((F.dayofmonth("ts") <= 15, F.dayofmonth("ts") > 15)):
-        rows.filter(part).write.parquet(f"{root}/landing/part={landing}")
-        source = spark.readStream.schema(rows.schema).parquet(f"{root}/landing/*")
-        once = stream_events.dedup_events(source, at="ts")
-        runs.finish(runs.append_files(once, f"{root}/table", f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/table")
+    rows = read(spark, sf, "events")
+    sink = backfill.ExactlyOnce(spark, f"{root}/table", at="ts")
+    for landing, part in enumerate((F.dayofmonth("ts") <= 15, F.lit(True))):
+        rows.filter(part).repartition(3, "event_id").write.parquet(f"{root}/landing/part={landing}")
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing/*")
+        runs.finish(runs.each_batch(source, sink, f"{root}/checkpoint"))
+    return sink.table()
 
 
 @query
 def rt_revenue(spark, sf):
     root = shared_dir(spark, "revenue")
-    good, _ = stream_events.parse_with_dlq(views.purchase_messages(event_stream(spark, sf)))
-    body = runs.folder_per_batch(f"{root}/updates")
-    runs.finish(runs.each_batch(windows.sliding_revenue(good), body, f"{root}/checkpoint", mode="update"))
-    return windows.latest_per_window(spark.read.parquet(f"{root}/updates"))
+    good, _ = stream_events.parse_with_dlq(views.purchase_messages(scattered(spark, sf, root)))
+    sink = backfill.WindowTotals(spark, f"{root}/parts")
+    runs.finish(runs.each_batch(good, sink, f"{root}/checkpoint"))
+    return sink.totals()
 
 
 @query
 def rt_revenue_panes(spark, sf):
     root = shared_dir(spark, "panes")
-    good, _ = stream_events.parse_with_dlq(views.purchase_messages(event_stream(spark, sf)))
-    sink = windows.PaneSink(spark, root)
+    good, _ = stream_events.parse_with_dlq(views.purchase_messages(scattered(spark, sf, root)))
+    sink = windows.PaneSink(spark, f"{root}/panes", lateness=None)
     runs.finish(runs.each_batch(good, sink, f"{root}/checkpoint"))
     return windows.panes_total(sink.panes())
 
 
-@query
-def late_data(spark, sf):
-    """Every tenth event arrives in a second landing. It still counts in windows that closed less than
-    the allowed lateness before the newest event of the first landing, and is dropped otherwise."""
+def two_landings(spark, sf):
+    """Every tenth event arrives in a second landing; panes so far, and the tagged messages."""
     root = shared_dir(spark, "late")
     rows, sink = read(spark, sf, "events"), windows.PaneSink(spark, f"{root}/panes")
     for landing, part in enumerate((F.col("event_id") % 10 != 9, F.col("event_id") % 10 == 9)):
@@ -470,6 +477,24 @@ def late_data(spark, sf):
         source = spark.readStream.schema(rows.schema).parquet(f"{root}/landing/*")
         good, _ = stream_events.parse_with_dlq(views.purchase_messages(source))
         runs.finish(runs.each_batch(good, sink, f"{root}/checkpoint"))
+    return sink, stream_events.tag_messages(views.purchase_messages(rows))
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Nothing is lost: events counted in their windows, events whose windows had closed, dead letters."""
+    sink, tagged = two_landings(spark, sf)
+    late = sink.late().agg(F.coalesce(F.sum("events"), F.lit(0)).alias("n")).select(F.lit("late").alias("outcome"), "n")
+    kept = sink.panes().agg(F.coalesce(F.sum("events"), F.lit(0)).alias("n")).select(F.lit("kept").alias("outcome"), "n")
+    dead = stream_events.dead_letters(tagged).agg(F.count("*").alias("n")).select(F.lit("dead").alias("outcome"), "n")
+    return kept.unionByName(late).unionByName(dead)
+
+
+@query
+def late_data(spark, sf):
+    """A second landing still counts in windows that closed less than the allowed lateness before the newest
+    event of the first, and goes to the late panes otherwise."""
+    sink, _ = two_landings(spark, sf)
     return windows.panes_total(sink.panes())
 
 

@@ -63,7 +63,8 @@ def finish(query: StreamingQuery) -> StreamingQuery:
 
 
 def parquet_stream(spark: SparkSession, path: str, max_files: int = 256) -> DataFrame:
-    """A table's files as a stream, with the schema its files have now.
+    """A table's files as a stream, with the schema its files have now. They come in any order of time:
+    use targets from ``backfill``, or all files in one batch, rather than a watermark.
 
     The last name is given as a pattern that only matches itself: the stream source takes a plain
     path for a folder, and a table may be a single file.

@@ -45,37 +45,49 @@ class PaneSink:
     """``foreachBatch`` target writing discarding panes: each pane holds only what arrived since
     the pane before it.
 
-    A window takes late rows until ``lateness`` after the watermark passed its end; the watermark
-    is the greatest event time of earlier batches, kept as one row per batch next to the panes.
-    Both are folders per batch, so a replayed batch replaces itself.
+    A window takes rows until ``lateness`` after the watermark passed its end; the watermark is the
+    greatest event time of earlier batches. What comes later is not lost: it goes to the ``late`` panes
+    with the mark that closed its window. ``lateness=None`` never closes a window, for stored input.
+    All outputs are folders per batch, so a replayed batch replaces itself, and a batch reads the one
+    mark before it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, size: str = SIZE, slide: str = SLIDE, lateness: str = LATENESS):
+    def __init__(
+        self, spark: SparkSession, root: str, size: str = SIZE, slide: str = SLIDE, lateness: str | None = LATENESS
+    ):
         self.spark, self.root = spark, root
         self.size, self.slide, self.lateness = size, slide, lateness
 
     def _watermark(self, batch_id: int):
         if batch_id == 0:
             return None
-        marks = self.spark.read.schema("high timestamp, batch_id bigint").parquet(f"{self.root}/marks")
-        return marks.filter(F.col("batch_id") < batch_id).agg(F.max("high")).first()[0]
+        return self.spark.read.schema("high timestamp").parquet(f"{self.root}/marks/batch_id={batch_id - 1}").first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         mark = self._watermark(batch_id)
         sums = _by_window(batch, "occurred_at", KEYS, self.size, self.slide).agg(
-            exact_sum("net_revenue").alias("pane"), F.max("occurred_at").alias("high")
+            exact_sum("net_revenue").alias("pane"), F.max("occurred_at").alias("high"), F.count("*").alias("events")
         )
-        panes = _flat(sums, KEYS, "pane", "high")
-        if mark is not None:
-            panes = panes.filter(F.col("window_end") + F.expr(f"INTERVAL {self.lateness}") > F.lit(mark))
-        written = f"{self.root}/panes/batch_id={batch_id}"
-        panes.write.mode("overwrite").parquet(written)
-        # Read back rather than evaluate the batch again; dropped panes are older than the mark.
-        high = self.spark.read.schema(panes.schema).parquet(written).agg(F.max("high").alias("high"))
-        high.write.mode("overwrite").parquet(f"{self.root}/marks/batch_id={batch_id}")
+        panes = _flat(sums, KEYS, "pane", "high", "events").withColumn("mark", F.lit(mark).cast("timestamp"))
+        closed = F.lit(False)
+        if mark is not None and self.lateness is not None:
+            closed = F.col("window_end") + F.expr(f"INTERVAL {self.lateness}") <= F.col("mark")
+        written = f"{self.root}/all/batch_id={batch_id}"
+        panes.withColumn("late", closed).write.mode("overwrite").parquet(written)
+        # Read back rather than evaluate the batch again.
+        high = self.spark.read.schema("high timestamp").parquet(written).agg(F.max("high").alias("high"))
+        high = high.select(F.greatest("high", F.lit(mark).cast("timestamp")).alias("high"))
+        high.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/marks/batch_id={batch_id}")
+
+    def _all(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/all")
 
     def panes(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/panes").drop("high")
+        return self._all().filter("NOT late").drop("high", "mark", "late")
+
+    def late(self) -> DataFrame:
+        """Panes that came after their window closed, with the mark that closed it."""
+        return self._all().filter("late").drop("high", "late")
 
 
 def panes_total(panes: DataFrame) -> DataFrame:
