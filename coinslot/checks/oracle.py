@@ -369,6 +369,29 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
            FROM (SELECT * FROM cdc QUALIFY row_number() OVER (PARTITION BY _pk, batch ORDER BY _lsn DESC) = 1)
            WINDOW w AS (PARTITION BY _pk ORDER BY _lsn))""",
     ),
+    "scd2_orders": (
+        (),
+        f"""SELECT *, lead(_committed_at) OVER w AS valid_to, lead(_lsn) OVER w IS NULL AS is_current FROM (
+             SELECT o_orderkey::VARCHAR AS _pk, CASE s WHEN 0 THEN 'c' WHEN 2 THEN 'u' ELSE 'd' END AS _op,
+               date_diff('day', DATE '1970-01-01', (o_orderdate + to_days(s))::DATE)::BIGINT * 10000000000000 + o_orderkey AS _lsn,
+               o_orderdate + to_days(s) AS _committed_at, o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS player_id,
+               'digital_store' AS channel_code, ({PLATFORMS})[o_orderkey % 12 + 1] AS platform,
+               CASE s WHEN 0 THEN 'PLACED' ELSE 'SHIPPED' END AS order_status, o_totalprice::DECIMAL(18,2)::VARCHAR AS order_total,
+               'EUR' AS currency, strftime(o_orderdate, '%Y-%m-%d') AS created_at, strftime(o_orderdate, '%Y-%m-%d') AS updated_at,
+               s = 5 AS is_deleted, o_orderdate + to_days(s) AS valid_from
+             FROM orders, (VALUES (0), (2), (5)) t(s) WHERE s < 5 OR o_orderkey % 7 = 0)
+           WINDOW w AS (PARTITION BY _pk ORDER BY _lsn)""",
+    ),
+    "scd2_customers": (
+        (),
+        f"""SELECT *, lead(_committed_at) OVER w AS valid_to, lead(_lsn) OVER w IS NULL AS is_current FROM (
+             SELECT o_custkey::VARCHAR AS _pk, CASE WHEN o_orderkey % 19 = 0 THEN 'd' ELSE 'u' END AS _op,
+               date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::BIGINT * 10000000000000 + o_orderkey AS _lsn,
+               o_orderdate AS _committed_at, o_custkey::VARCHAR AS player_id, (['DE', 'FR', 'ES', 'US'])[o_orderkey % 4 + 1] AS country,
+               strftime(o_orderdate, '%Y-%m-%d') AS signup_at, ({PLATFORMS})[o_orderkey % 12 + 1] AS primary_platform,
+               o_orderkey % 19 = 0 AS is_deleted, o_orderdate AS valid_from FROM orders)
+           WINDOW w AS (PARTITION BY _pk ORDER BY _lsn)""",
+    ),
     "scd2_stream": (("hist",), f"SELECT {HIST_COLUMNS} FROM hist"),
     "scd2_current": (
         ("hist",),
@@ -445,9 +468,10 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "ingest_csv_incremental": (
         (),
-        """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, NULL::VARCHAR AS _rescued_data,
-             'customers' AS _dataset_key, CASE WHEN c_acctbal < 5000 THEN '2024-01-01' ELSE '2024-01-02' END AS landed
-           FROM customer""",
+        """SELECT c_custkey, c_name, CASE WHEN c_custkey % 6 <> 2 THEN c_nationkey END AS c_nationkey, c_acctbal, c_mktsegment,
+             CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment[:2] END AS c_code,
+             CASE WHEN c_custkey % 6 = 2 THEN '{"c_nationkey":"N' || c_nationkey || '"}' END AS _rescued_data,
+             'customers' AS _dataset_key, '2024-01-0' || (c_custkey % 3 + 1) AS landed FROM customer""",
     ),
     "publish_mart": (("life",), "SELECT * FROM life"),
     "clustered_write": (("ssales",), f"SELECT {SALES_COLUMNS} FROM ssales"),

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from coinslot.functions.expr import net_revenue, release_era
 from coinslot.ml import churn, forecast, metrics, recommend, similarity
-from coinslot.model import views
+from coinslot.model import schemas, views
 from coinslot.model.dims import dim_channel, dim_console
 from coinslot.model.views import purchases, read
 from coinslot.operators import changes, layout, quality, scd2
@@ -274,6 +274,31 @@ def scd2_stream(spark, sf):
     return scd2.scd2_history(spark.read.parquet(f"{root}/log"), batch="batch_id")
 
 
+def entity_history(spark, sf, entity, changes):
+    """The history of an entity through a change log written per batch, each batch delivered twice."""
+    root = shared_dir(spark, f"scd2-{entity}")
+    changes(read(spark, sf, "orders")).repartition(4, "op", "ts_ms").write.parquet(f"{root}/source")
+    key = schemas.CDC_KEYS[entity]
+
+    def body(batch, n):
+        for _ in range(2):
+            scd2.append_changes(batch, n, key, f"{root}/log")
+
+    stream = runs.parquet_stream(spark, f"{root}/source", max_files=2)
+    runs.finish(runs.each_batch(stream, body, f"{root}/checkpoint"))
+    return scd2.scd2_history(spark.read.parquet(f"{root}/log"), batch="batch_id")
+
+
+@query
+def scd2_orders(spark, sf):
+    return entity_history(spark, sf, "orders", views.order_changes)
+
+
+@query
+def scd2_customers(spark, sf):
+    return entity_history(spark, sf, "customers", views.customer_changes)
+
+
 @query
 def scd2_current(spark, sf):
     return scd2.scd2_current(history(spark, sf)).select("_pk", "_lsn", "membership_tier", "status", "mrr")
@@ -362,18 +387,23 @@ def rescued_data(spark, sf):
 
 @query
 def ingest_csv_incremental(spark, sf):
-    """Two landing days of customers; the second run only takes in the second day."""
+    """Three generations of customer files: as the table is, in another column order with a column more, and
+    with text among the nation keys. Each run takes in what is new."""
     root = shared_dir(spark, "landing")
     rows = read(spark, sf, "customer")
-    schema = None
-    for day, part in (("2024-01-01", rows.filter("c_acctbal < 5000")), ("2024-01-02", rows.filter("c_acctbal >= 5000"))):
-        files.land(part, f"{root}/files", day)
-        schema = schema or rows.schema
-        bronze = files.ingest_files(
-            spark, f"{root}/files/*", f"{root}/bronze", f"{root}/checkpoint", schema, "customers"
+    nation = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("N"), "c_nationkey")).otherwise(F.col("c_nationkey").cast("string"))
+    generations = {
+        "2024-01-01": rows,
+        "2024-01-02": rows.withColumn("c_code", F.substring("c_mktsegment", 1, 2)).select("c_code", *reversed(rows.columns)),
+        "2024-01-03": rows.withColumn("c_nationkey", nation),
+    }
+    for n, (day, part) in enumerate(generations.items()):
+        files.land(part.filter(F.col("c_custkey") % 3 == n), f"{root}/files", day)
+        bronze = files.ingest_csv(
+            spark, f"{root}/files/*", f"{root}/bronze", f"{root}/checkpoint", f"{root}/schemas", "customers", rows.schema
         )
     landed = F.regexp_extract("_source_file", "ingest_date=([0-9-]+)", 1)
-    return bronze.select(*rows.columns, files.RESCUED, "_dataset_key", landed.alias("landed"))
+    return bronze.select(*rows.columns, "c_code", files.RESCUED, "_dataset_key", landed.alias("landed"))
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinslot.model.dims import CHANNELS, CONSOLES
+from coinslot.model.schemas import CDC_PAYLOADS
 
 PLATFORM_CODES = [row[0] for row in CONSOLES]
 CHANNEL_CODES = [row[0] for row in CHANNELS]
@@ -174,6 +175,56 @@ def subscription_changes(orders: DataFrame) -> DataFrame:
     )
 
 
+def _envelopes(changes: DataFrame, entity: str) -> DataFrame:
+    """Envelopes from rows that have the payload columns, ``op``, ``at`` and ``lsn``; deletes carry only ``before``."""
+    payload = F.struct(*CDC_PAYLOADS[entity].split())
+    millis = F.unix_millis(F.col("at"))
+    return changes.select(
+        F.when(F.col("op") == "d", payload).alias("before"),
+        F.when(F.col("op") != "d", payload).alias("after"),
+        "op",
+        millis.alias("ts_ms"),
+        F.struct(
+            millis.alias("ts_ms"), "lsn", F.col("lsn").alias("txId"), F.lit(entity).alias("table"), F.lit("false").alias("snapshot")
+        ).alias("source"),
+    )
+
+
+def order_changes(orders: DataFrame) -> DataFrame:
+    """Each order is placed, shipped two days later, and every seventh deleted after five days."""
+    key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    steps = F.when(key % 7 == 0, F.array(F.lit(0), F.lit(2), F.lit(5))).otherwise(F.array(F.lit(0), F.lit(2)))
+    rows = orders.withColumn("step", F.explode(steps))
+    at = F.timestamp_micros(F.unix_micros(placed) + F.col("step") * F.lit(86_400_000_000))
+    text = F.date_format(placed, "yyyy-MM-dd")
+    return _envelopes(
+        rows.select(
+            key.cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("player_id"),
+            F.lit("digital_store").alias("channel_code"), pick(PLATFORM_CODES, key % 12).alias("platform"),
+            F.when(F.col("step") == 0, "PLACED").otherwise("SHIPPED").alias("order_status"),
+            F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("order_total"), F.lit("EUR").alias("currency"),
+            text.alias("created_at"), text.alias("updated_at"),
+            F.when(F.col("step") == 0, "c").when(F.col("step") == 2, "u").otherwise("d").alias("op"),
+            at.alias("at"), (F.unix_date(F.to_date(at)).cast("long") * LSN_STEP + key).alias("lsn"),
+        ),
+        "orders",
+    )
+
+
+def customer_changes(orders: DataFrame) -> DataFrame:
+    """A customer's row changes with every order; every 19th order deletes it."""
+    key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    return _envelopes(
+        orders.select(
+            F.col("o_custkey").cast("string").alias("player_id"), pick(["DE", "FR", "ES", "US"], key % 4).alias("country"),
+            F.date_format(placed, "yyyy-MM-dd").alias("signup_at"), pick(PLATFORM_CODES, key % 12).alias("primary_platform"),
+            F.when(key % 19 == 0, "d").otherwise("u").alias("op"), placed.alias("at"),
+            (F.unix_date(F.to_date(placed)).cast("long") * LSN_STEP + key).alias("lsn"),
+        ),
+        "customers",
+    )
+
+
 def purchase_messages(events: DataFrame, copies: int = 1) -> DataFrame:
     """Event table rows (batch or stream) as broker messages; ``copies`` repeats each message.
 

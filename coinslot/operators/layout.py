@@ -5,14 +5,16 @@ from __future__ import annotations
 import math
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coinslot.session import shared_dir
+from coinslot.session import table_dir
 
 
-def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None = None) -> None:
+def clustered_write(
+    df: DataFrame, path: str, keys: list[str], files: int | None = None, observed: Observation | None = None
+) -> None:
     """Range-partitioned and sorted by ``keys``, so row-group statistics can skip data.
 
     Range bounds are sampled over all keys plus a spread column: one hot key value is cut over
@@ -21,13 +23,15 @@ def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None
     spread = F.xxhash64(*df.columns)
     ranges = [*[F.col(k) for k in keys], spread]
     placed = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    placed.sortWithinPartitions(*keys).write.mode("errorifexists").parquet(path)
+    rows = placed.sortWithinPartitions(*keys)
+    rows = rows.observe(observed, F.count("*").alias("rows")) if observed else rows
+    rows.write.mode("errorifexists").option("compression", "zstd").parquet(path)
 
 
 def declare(spark: SparkSession, table: str, schema: StructType) -> None:
-    """Creates an empty parquet table in the shared folder, unless it exists."""
+    """Creates an empty parquet table below the warehouse, unless it exists."""
     if not spark.catalog.tableExists(table):
-        path = shared_dir(spark, table.replace(".", "-"))
+        path = table_dir(spark, table)
         spark.createDataFrame([], schema).write.parquet(path)
         spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
 
@@ -82,17 +86,24 @@ def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 1
 def publish(df: DataFrame, table: str, cluster_by: list[str] | None = None) -> None:
     """Staged publish: a fresh folder is written and counted, then the table points to it.
 
-    Readers see the old or the new mart; a failed write leaves the old one in place.
+    Readers see the old or the new mart; a failed or incomplete write leaves the old one in place. Only
+    where the columns changed is the table dropped and made again, as a location cannot carry columns.
+    Folders of earlier versions stay for running readers; the operator removes them.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, table.replace(".", "-"))
+    path = table_dir(spark, table)
+    written = Observation()
     if cluster_by:
-        clustered_write(df, path, cluster_by)
+        # The ranges are sampled by a pass of its own, so rows are counted behind the exchange.
+        clustered_write(df, path, cluster_by, observed=written)
     else:
-        df.write.parquet(path)
+        df.observe(written, F.count("*").alias("rows")).write.option("compression", "zstd").parquet(path)
     fresh = spark.read.parquet(path)
-    if fresh.isEmpty():
+    rows = fresh.count()
+    if rows == 0:
         raise ValueError(f"refusing to publish an empty {table}")
+    if rows != written.get["rows"]:
+        raise ValueError(f"{table}: {rows} rows stored of {written.get['rows']} written")
     if spark.catalog.tableExists(table):
         if spark.table(table).schema == fresh.schema:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
@@ -123,7 +134,7 @@ def maintain(spark: SparkSession, tables: list[str], target_bytes: int = 128 * 1
         try:
             rows = spark.table(table)
             location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()["data_type"]
-            path = shared_dir(spark, table.replace(".", "-"))
+            path = table_dir(spark, table)
             compact(spark, location, path, target_bytes)
             if spark.read.parquet(path).schema != rows.schema:
                 raise ValueError("schema changed while compacting")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from coinslot.model.dims import dim_channel, dim_console
 from coinslot.operators import layout, quality
@@ -25,7 +26,7 @@ CLUSTERING = {
 
 def _publish(df: DataFrame, schema: str, name: str) -> None:
     table = f"{schema}.{name}"
-    layout.publish(df, table, CLUSTERING.get(name))
+    layout.publish(df.withColumn("_generated_at", F.current_timestamp()), table, CLUSTERING.get(name))
     layout.analyse(df.sparkSession, table)
 
 

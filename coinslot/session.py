@@ -53,6 +53,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/coinslot/{purpose}-{uuid.uuid4().hex}"
 
 
+def table_dir(spark: SparkSession, table: str) -> str:
+    """A fresh folder for a published table, below the warehouse: scratch folders expire, tables do not."""
+    base = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/coinslot/{table.replace('.', '-')}-{uuid.uuid4().hex}"
+
+
 def materialise(df, purpose: str):
     """Write once, read many: a columnar cut in the lineage that outlives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
@@ -60,7 +66,7 @@ def materialise(df, purpose: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_stored(spark: SparkSession, schema: str, path: str, fmt: str = "parquet"):
+def read_stored(spark: SparkSession, schema, path: str, fmt: str = "parquet"):
     """A control folder that may not have been written yet: then it is empty."""
     try:
         return spark.read.schema(schema).format(fmt).load(path)

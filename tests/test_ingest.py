@@ -52,7 +52,7 @@ def test_checksum_sees_content_and_names_but_not_order(spark, folder):
     write(f"{folder}/x/sub/b.bin", "world" * 1000)
     manifest = files.folder_manifest(spark, f"{folder}/x")
     digests = {r.file_name: r.sha256 for r in manifest.collect()}
-    assert digests["a.bin"] == hashlib.sha256(b"hello").hexdigest()
+    assert digests["a.bin"] == hashlib.sha256(hashlib.sha256(b"hello").hexdigest().encode()).hexdigest()
     digest = files.folder_digest(manifest).first()
     assert (digest.files, digest.bytes) == (2, 5005)
     manifest.write.parquet(f"{folder}/manifest")
@@ -173,3 +173,47 @@ def test_missing_broker_connector_is_reported(spark):
         brokers.kafka_messages(spark, "localhost:9092", "t", security_protocol="SASL_SSL")
     with pytest.raises(Exception, match="pubsub"):
         brokers.pubsub_messages(spark, "p", "s")
+
+
+def test_csv_columns_are_bound_by_header(spark, folder):
+    from pyspark.sql.types import StructType
+
+    import os
+
+    os.makedirs(f"{folder}/in")
+    hints = StructType.fromDDL("id int, name string, city string")
+
+    def take(name, text, **options):
+        with open(f"{folder}/in/{name}", "w") as f:
+            f.write(text)
+        return files.ingest_csv(spark, f"{folder}/in", f"{folder}/out", f"{folder}/cp", f"{folder}/schemas", "people", hints, **options)
+
+    take("a.csv", "id,name,city\n1,ann,rome\n")
+    take("b.csv", "city,id,name,extra\noslo,2,bob,keepme\n")
+    take("c.csv", "name,id\ncid,x3\n\"dee, d\",4\n")
+    table = take("d.csv", "id,later\n5,more\n", new_columns=False)
+    assert table.columns[:4] == ["id", "name", "city", "extra"]
+    rows = {r.name: r for r in table.collect()}
+    assert (rows["bob"].id, rows["bob"].city, rows["bob"].extra, rows["bob"]._rescued_data) == (2, "oslo", "keepme", None)
+    assert (rows["ann"].id, rows["ann"].extra) == (1, None)
+    assert (rows["cid"].id, rows["cid"]._rescued_data) == (None, '{"id":"x3"}')
+    assert rows["dee, d"].id == 4 and rows["dee, d"].city is None
+    assert (rows[None].id, rows[None]._rescued_data) == (5, '{"later":"more"}')
+    assert table.count() == 5 and {r._dataset_key for r in table.collect()} == {"people"}
+
+
+def test_manifest_hashes_in_blocks(spark, folder):
+    import hashlib
+    import os
+
+    os.makedirs(f"{folder}/m")
+    for name, data in (("a.bin", b"0123456789"), ("b.bin", b""), ("c.bin", b"01234567")):
+        with open(f"{folder}/m/{name}", "wb") as f:
+            f.write(data)
+    got = {r.file_name: r.sha256 for r in files.folder_manifest(spark, f"{folder}/m", block_bytes=4).collect()}
+
+    def digest(data):
+        parts = [hashlib.sha256(data[i : i + 4]).hexdigest() for i in range(0, len(data), 4)]
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    assert got == {"a.bin": digest(b"0123456789"), "c.bin": digest(b"01234567")}
