@@ -19,7 +19,7 @@ from coinslot.model.dims import dim_channel, dim_console
 from coinslot.model.views import purchases, read
 from coinslot.operators import changes, layout, quality, scd2
 from coinslot.operators.dedup import append_dedup, best_row
-from coinslot.plans import catalog, features, gold, lookups, silver
+from coinslot.plans import catalog, features, gold, lookups, refresh, silver
 from coinslot.session import materialise, shared_dir, tune
 from coinslot.sources import files
 from coinslot.streaming import backfill, monitor, runs, windows
@@ -93,6 +93,13 @@ def player_360(spark, sf):
     return gold.player_360(silver_events(spark, sf), history(spark, sf), F.expr(AS_OF))
 
 
+def published(spark, mart, name):
+    """The mart as a clustered table under a name of its own: lookups read what is stored, not the plan."""
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    layout.publish(mart, table, refresh.CLUSTERING[name])
+    return spark.table(table)
+
+
 def series_split(spark, sf):
     return features.chronological_split(features.sales_timeseries(silver_events(spark, sf)))
 
@@ -236,7 +243,7 @@ def gold_title_performance(spark, sf):
 @query
 def lookup_sales_by_era(spark, sf):
     mart = gold.sales_by_era_platform(silver_sales(spark, sf), silver_events(spark, sf))
-    return lookups.lookup_sales_by_era(mart, "Xbox")
+    return lookups.lookup_sales_by_era(published(spark, mart, "gold_sales_by_era_platform"), "Xbox")
 
 
 # ---- change data capture ---------------------------------------------------------------------
@@ -609,7 +616,7 @@ def churn_score_bands(spark, sf):
 @query
 def lookup_player_churn(spark, sf):
     scored = churn.score_churn(features.player_features(player_360(spark, sf)), WEIGHTS)
-    return lookups.lookup_player_churn(scored, "1")
+    return lookups.lookup_player_churn(published(spark, scored, "gold_player_churn_scores"), "1")
 
 
 @query
@@ -703,10 +710,16 @@ def enrichment_todo(spark, sf):
 
 @query
 def catalog_enrich(spark, sf):
-    done = catalog.enrich(todo(spark, sf), stub_completions, pause=0.0)
-    return done.select(
-        *catalog.PROMPT_FIELDS, "reject_reason", F.col("enrichment.sub_genre").alias("sub_genre"),
-        F.col("enrichment.retro_appeal").alias("retro_appeal"),
+    """Two runs into stored tables: all titles, then again those that were rejected."""
+    root = shared_dir(spark, "catalog")
+    sales = materialise(todo(spark, sf), "catalog-source")
+    catalog.enrich_into(spark, sales, stub_completions, root, "a", pause=0.0)
+    catalog.enrich_into(spark, sales, stub_completions, root, "b", pause=0.0)
+    none = F.lit(None).cast("string")
+    good = catalog.stored_enrichment(spark, root).select(*catalog.PROMPT_FIELDS, none.alias("reject_reason"), "sub_genre", "retro_appeal")
+    bad = spark.read.parquet(f"{root}/rejected/run=b")
+    return good.unionByName(
+        bad.select(*catalog.PROMPT_FIELDS, "reject_reason", none.alias("sub_genre"), none.alias("retro_appeal"))
     )
 
 
@@ -742,7 +755,7 @@ def catalog_document_text(spark, sf):
 
 @query
 def catalog_embed(spark, sf):
-    vectors = catalog.embed(catalog.catalog_documents(part_catalog(spark, sf)), stub_vectors)
+    vectors = materialise(catalog.embed(catalog.catalog_documents(part_catalog(spark, sf)), stub_vectors), "catalog-vectors")
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double"))
     return vectors.select("title", "platform_code", F.size("embedding").alias("dims"), total.alias("total"))
 

@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from coinslot.functions.expr import document_text, parsed_once
 from coinslot.model.schemas import ENRICHMENT, RETRO_APPEAL
+from coinslot.session import materialise, read_stored
 
 CATALOG_KEY = ["title", "platform_code"]
 PROMPT_FIELDS = ["title", "platform_code", "era", "genre", "publisher"]
@@ -106,6 +107,26 @@ def rejected(enriched: DataFrame) -> DataFrame:
     return enriched.filter("reject_reason IS NOT NULL").drop("enrichment")
 
 
+def enrich_into(
+    spark: SparkSession, source: DataFrame, complete: Callable[[list[str], str], list[str]], folder: str, run: str,
+    n: int | None = None, **options,
+) -> None:
+    """Enriches titles that are not accepted yet and stores both outcomes below ``folder``.
+
+    ``run`` names the run: its folders are overwritten, so a repeated run replaces itself and asks again only
+    for what other runs left open. Rejected titles are asked again by later runs.
+    """
+    done = stored_enrichment(spark, folder).filter(F.col("run") != run)
+    answers = materialise(enrich(enrichment_todo(source, done, n), complete, **options), "enriched")
+    accepted(answers).write.mode("overwrite").parquet(f"{folder}/accepted/run={run}")
+    rejected(answers).write.mode("overwrite").parquet(f"{folder}/rejected/run={run}")
+
+
+def stored_enrichment(spark: SparkSession, folder: str) -> DataFrame:
+    fields = [StructField(c, StringType()) for c in PROMPT_FIELDS]
+    return read_stored(spark, StructType([*fields, *ENRICHMENT.fields, StructField("run", StringType())]), f"{folder}/accepted")
+
+
 def catalog_documents(catalog: DataFrame) -> DataFrame:
     return catalog.select(*CATALOG_KEY, document_text("title", "platform_code", "genre", "sub_genre").alias("document"))
 
