@@ -25,6 +25,26 @@ fences AS (SELECT doc_id, sentence_ids, ',' || sentence_ids || ',' AS fenced FRO
 SELECT doc_id, sentence_ids, concat_ws(',', {names}) AS licenses FROM fences"""
 
 
+def _ngram_jaccard() -> str:
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') AS ws FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS grams FROM w),
+e AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM g),
+p AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, a.n AS m, b.n AS n, count(*) AS i
+  FROM e a JOIN e b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p WHERE 100 * i >= 75 * (m + n - i)),
+b AS (SELECT u AS x, v AS y FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT x AS doc_id, y AS reached FROM b UNION SELECT r.doc_id, b.y FROM r JOIN b ON b.x = r.reached),
+c AS (SELECT doc_id, min(reached) AS least FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, least(doc_id, coalesce(c.least, doc_id)) AS component_id
+FROM g LEFT JOIN c USING (doc_id)"""
+
+
 def _exact_dedup() -> str:
     return """
 WITH n AS (
@@ -47,6 +67,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": _ngram_jaccard(),
     "op7_exact_dedup": _exact_dedup(),
     "op8_license_scan": _license_scan(),
     "op10_topk": _topk(),
