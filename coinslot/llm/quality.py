@@ -1,6 +1,7 @@
 """Quality classifier: learned vectors of hashed words and character n-grams, averaged per document.
 
-Every word and every character n-gram of it (with word borders) is hashed into a table of vectors. A
+Every word and every character n-gram of it (with word borders) is hashed into a table of vectors. Of word
+pairs one thing counts, whether a word repeats the one before it: such a place has a word of its own. A
 document is the mean of its features' vectors, a linear layer and softmax give the two classes.
 Vectors and layer are trained together by stochastic gradient descent in numpy, inside one task, on
 a bounded sample of the labelled rows. Scoring needs one number per table row: the mean of vectors
@@ -30,6 +31,9 @@ RATE = 0.5
 #: Lengths of character n-grams, in bytes.
 NGRAMS = (3, 4, 5)
 
+#: Stands for a repeated word; no text has it, as white space never is part of a word.
+REPEAT = " again "
+
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,11 +73,17 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Different words of some texts, the word at each place, and the text of each place."""
+    """Different words of some texts, the word at each place, and the text of each place, in text order.
+
+    A place whose word repeats the one before it adds the word REPEAT.
+    """
     split = pc.ascii_split_whitespace(filled(texts))
     coded = split.flatten().dictionary_encode()
     lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(texts)), lengths)
+    at, owner = coded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(texts)), lengths)
+    again = np.flatnonzero((at[1:] == at[:-1]) & (owner[1:] == owner[:-1])) + 1
+    words = pa.concat_arrays([coded.dictionary, pa.array([REPEAT], coded.dictionary.type)])
+    return words, np.insert(at, again, len(words) - 1), np.insert(owner, again, owner[again])
 
 
 def scores(texts: pa.Array, table: np.ndarray, bias: float) -> np.ndarray:

@@ -49,6 +49,16 @@ def test_classifier_edges(spark):
         quality.score_documents(docs, model)
 
 
+def test_classifier_sees_repeated_words(spark):
+    """The same words, once each in turn and once in runs: only the repeats tell them apart."""
+    words = [f"w{i}" for i in range(12)]
+    good, bad = " ".join(words * 5), " ".join(w for w in words for _ in range(5))
+    sample = spark.createDataFrame([(i, good if i % 2 else bad, i % 2) for i in range(40)], "doc_id long, text string, label int")
+    model = quality.fit(sample)
+    rows = {r.doc_id: r.chance for r in quality.score_documents(table(spark, ["a b c d e f g", "a a a b b b c c c"]), model, into="chance").collect()}
+    assert rows[0] > rows[1]
+
+
 def brute_topk(vectors, k, every):
     rows = [(i, np.floor(np.asarray(v, float) * 64)) for i, v in vectors if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = []
