@@ -603,8 +603,9 @@ def chronological_split(spark, sf):
 
 @query
 def recsys_training_set(spark, sf):
-    pairs = materialise(features.interactions(silver_events(spark, sf)), "pairs")
-    return recommend.training_set(pairs, gold.churn_labels(silver_events(spark, sf), F.expr(AS_OF)))
+    events = materialise(silver_events(spark, sf), "events")
+    pairs = materialise(features.interactions(events), "pairs")
+    return recommend.training_set(pairs, gold.churn_labels(events, F.expr(AS_OF)))
 
 
 @query
