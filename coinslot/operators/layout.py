@@ -5,16 +5,14 @@ from __future__ import annotations
 import math
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coinslot.session import table_dir
+from coinslot.session import materialise, table_dir
 
 
-def clustered_write(
-    df: DataFrame, path: str, keys: list[str], files: int | None = None, observed: Observation | None = None
-) -> None:
+def clustered_write(df: DataFrame, path: str, keys: list[str], files: int | None = None) -> None:
     """Range-partitioned and sorted by ``keys``, so row-group statistics can skip data.
 
     Range bounds are sampled over all keys plus a spread column: one hot key value is cut over
@@ -23,9 +21,7 @@ def clustered_write(
     spread = F.xxhash64(*df.columns)
     ranges = [*[F.col(k) for k in keys], spread]
     placed = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    rows = placed.sortWithinPartitions(*keys)
-    rows = rows.observe(observed, F.count("*").alias("rows")) if observed else rows
-    rows.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    placed.sortWithinPartitions(*keys).write.mode("errorifexists").option("compression", "zstd").parquet(path)
 
 
 def declare(spark: SparkSession, table: str, schema: StructType) -> None:
@@ -92,18 +88,18 @@ def publish(df: DataFrame, table: str, cluster_by: list[str] | None = None) -> N
     """
     spark = df.sparkSession
     path = table_dir(spark, table)
-    written = Observation()
     if cluster_by:
-        # The ranges are sampled by a pass of its own, so rows are counted behind the exchange.
-        clustered_write(df, path, cluster_by, observed=written)
+        # Stored first: the range exchange reads its input twice, and the stored rows are what must arrive.
+        staged = materialise(df, "publish")
+        clustered_write(staged, path, cluster_by)
     else:
-        df.observe(written, F.count("*").alias("rows")).write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     fresh = spark.read.parquet(path)
     rows = fresh.count()
     if rows == 0:
         raise ValueError(f"refusing to publish an empty {table}")
-    if rows != written.get["rows"]:
-        raise ValueError(f"{table}: {rows} rows stored of {written.get['rows']} written")
+    if cluster_by and rows != staged.count():
+        raise ValueError(f"{table}: {rows} rows arrived of {staged.count()}")
     if spark.catalog.tableExists(table):
         if spark.table(table).schema == fresh.schema:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
