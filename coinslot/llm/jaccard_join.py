@@ -9,8 +9,9 @@
    compared with one leader of the list, in two rounds. Links found give groups; pairs within a group
    need no more comparing.
 4. Then all pairs of a list that lie in different groups pass the length, positional and suffix
-   filters, inside the task that holds the list; long lists are cut into blocks. What is left is
-   verified once per pair on the whole sets.
+   filters, inside the task that holds the list; long lists are cut into blocks. First only the most
+   promising pair of any two groups is verified, which joins most groups that belong together; then
+   every pair that is still between groups, once per pair on the whole sets.
 """
 
 from __future__ import annotations
@@ -376,10 +377,11 @@ def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
-def _candidates(lists: DataFrame) -> DataFrame:
+def _candidates(lists: DataFrame, best: bool = False) -> DataFrame:
     """Pairs (u, v) of different groups within a list or pair of blocks, after length, positional and suffix filter.
 
-    ``lists`` comes sorted by ``token, low, high``; a list's rows, at most two blocks, are held together.
+    ``best``: of the pairs between two groups that a task looks at together only the one of least distance, for
+    its size. ``lists`` comes sorted by ``token, low, high``; a list's rows, at most two blocks, are held together.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,10 +395,10 @@ def _candidates(lists: DataFrame) -> DataFrame:
             table = pa.Table.from_batches(held)
             last = _same_as_last(table)
             if last > 0:
-                yield from _pairs_of(table.slice(0, last))
+                yield from _pairs_of(table.slice(0, last), best)
                 held, rows = table.slice(last).to_batches(), table.num_rows - last
         if rows:
-            yield from _pairs_of(pa.Table.from_batches(held))
+            yield from _pairs_of(pa.Table.from_batches(held), best)
 
     return lists.mapInArrow(run, "u long, v long")
 
@@ -412,7 +414,7 @@ def _same_as_last(table: pa.Table) -> int:
     return int(other[-1]) + 1 if len(other) else 0
 
 
-def _pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+def _pairs_of(table: pa.Table, best: bool) -> Iterator[pa.RecordBatch]:
     token, low, high, block, doc, n, own, pos, group = _columns(table, "token", "low", "high", "block", "doc", "n", "own", "pos", "grp")
     cells = _cells(table.column("cells").combine_chunks())
     order = np.lexsort((group, block, high, low, token))
@@ -449,10 +451,18 @@ def _pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
         possible = before + after >= needed
         x, y, needed = x[possible], y[possible], needed[possible]
         shared = n[x] - own[x] + n[y] - own[y]
-        possible = np.empty(len(x), bool)
+        spare = np.empty(len(x), np.int64)
         for k in range(0, len(x), 50_000):
-            a, b = x[k : k + 50_000], y[k : k + 50_000]
-            possible[k : k + 50_000] = shared[k : k + 50_000] - _apart(cells[a], cells[b]) >= 2 * needed[k : k + 50_000]
+            spare[k : k + 50_000] = shared[k : k + 50_000] - _apart(cells[x[k : k + 50_000]], cells[y[k : k + 50_000]])
+        possible = spare >= 2 * needed
+        if best:
+            x, y, worth = x[possible], y[possible], (spare / needed)[possible]
+            a, b = np.minimum(group[x], group[y]), np.maximum(group[x], group[y])
+            order = np.lexsort((-worth, b, a))
+            head = np.ones(len(order), bool)
+            head[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+            x, y = x[order[head]], y[order[head]]
+            possible = np.ones(len(x), bool)
         u, v = np.minimum(doc[x], doc[y])[possible], np.maximum(doc[x], doc[y])[possible]
         if len(u):
             pairs = np.unique(np.stack([u, v]), axis=1)
@@ -521,8 +531,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
         found = materialise(_verified(_leader_pairs(_with_group(postings, groups), turn), sets), "jaccard-links")
         links = links.unionByName(found)
         groups = components(links)
-    grouped = materialise(_with_group(postings, groups), "jaccard-grouped")
-    found = materialise(_verified(_candidates(_lists(grouped, sets)), sets), "jaccard-links")
-    groups = components(links.unionByName(found))
+    for best in (True, False):
+        grouped = materialise(_with_group(postings, groups), "jaccard-grouped")
+        found = materialise(_verified(_candidates(_lists(grouped, sets), best), sets), "jaccard-links")
+        links = links.unionByName(found)
+        groups = components(links)
     result = sets.select("doc_id", "n_shingles").join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
