@@ -32,6 +32,8 @@ from coinslot.session import materialise
 WORDS, PERCENT = 5, 75
 #: Text of a chunk, at most, and of one partition of n-grams, about, in bytes.
 CHUNK_BYTES, PARTITION_BYTES = 12_000_000, 16_000_000
+#: Partitions of the shuffle, at most; each then works through several partitions of n-grams.
+SHUFFLED = 20_000
 #: Documents of a chunk, at most (their numbers have 16 bits).
 CHUNK_ROWS = 32_768
 #: An n-gram in this many documents of a chunk keeps their numbers at the chunk.
@@ -212,8 +214,21 @@ def _keys(low: bytes, p: int) -> np.ndarray:
 def _told(sent: DataFrame, partitions: int) -> DataFrame:
     """What each partition of n-grams tells each chunk: those of its n-grams that two documents or more hold."""
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        p = key[0].as_py()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by p: one partition of n-grams is held at a time.
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            numbers = batch.column("p").to_numpy()
+            for p in np.unique(numbers).tolist():
+                if held and held[0].column("p")[0].as_py() != p:
+                    yield from told(held[0].column("p")[0].as_py(), pa.Table.from_batches(held)).to_batches()
+                    held = []
+                a, b = np.searchsorted(numbers, [p, p + 1])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from told(held[0].column("p")[0].as_py(), pa.Table.from_batches(held)).to_batches()
+
+    def told(p: int, rows: pa.Table) -> pa.Table:
         own = rows.filter(rows.column("low").is_valid())
         passed = rows.filter(rows.column("ids").is_valid())
         passed = passed.append_column("df", pa.nulls(passed.num_rows, pa.binary()))
@@ -245,15 +260,18 @@ def _told(sent: DataFrame, partitions: int) -> DataFrame:
             out["numbers"].append(np.frombuffer(numbers, "<u2")[np.repeat(shared, carried)].tobytes())
             out["df"].append(mine[shared].astype("<u4").tobytes())
         m = len(out["chunk"])
-        told = pa.table({
+        found = pa.table({
             "p": pa.array([p] * m, pa.int32()), "chunk": pa.array(out["chunk"], pa.int64()),
             **{c: pa.array(out[c], pa.binary()) for c in ("low", "counts", "numbers")},
             **{c: pa.nulls(m, pa.binary()) for c in ("ids", "sizes", "marks", "often")},
             "df": pa.array(out["df"], pa.binary()),
         })
-        return pa.concat_tables([passed.cast(told.schema), told])
+        return pa.concat_tables([passed.cast(found.schema), found])
 
-    return sent.repartition(partitions, "p").groupBy("p").applyInArrow(run, SENT + ", df binary")
+    # Partitions of n-grams go to those of the shuffle in turn: a hash of the number would put several into one.
+    n = min(partitions, SHUFFLED)
+    placed = sent.repartitionById(n, F.col("p") % n).sortWithinPartitions("p")
+    return placed.mapInArrow(run, SENT + ", df binary")
 
 
 TOLD_NAMES = ("p", "chunk", "low", "counts", "numbers", "ids", "sizes", "marks", "often", "df")
