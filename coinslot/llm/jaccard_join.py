@@ -31,7 +31,7 @@ from coinslot.session import materialise
 #: Words of an n-gram, and the similarity that links, in per cent.
 WORDS, PERCENT = 5, 75
 #: Text of a chunk, at most, and of one partition of n-grams, about, in bytes.
-CHUNK_BYTES, PARTITION_BYTES = 12_000_000, 16_000_000
+CHUNK_BYTES, PARTITION_BYTES = 6_000_000, 8_000_000
 #: Partitions of the shuffle, at most; each then works through several partitions of n-grams.
 SHUFFLED = 20_000
 #: Documents of a chunk, at most (their numbers have 16 bits).
@@ -39,7 +39,7 @@ CHUNK_ROWS = 32_768
 #: An n-gram in this many documents of a chunk keeps their numbers at the chunk.
 OFTEN = 16
 #: Postings of a block of a long list, and pairs that a task looks at together.
-BLOCK, PAIRS = 4096, 400_000
+BLOCK, PAIRS = 4096, 200_000
 #: Cells of the suffix filter.
 CELLS = 1024
 LEADER_ROUNDS = 2
@@ -57,7 +57,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, window: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, window: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word (A-Z lower-cased), and the words per text. Long texts go window by window."""
     solid = ~_WHITE[data]
     starts_text = np.zeros(len(data) + 1, bool)
