@@ -277,6 +277,8 @@ def test_jaccard_chains_thresholds_and_blocks(spark, monkeypatch):
     rng.shuffle(texts)
     want = brute_components(range(len(texts)), texts)
     docs = table(spark, texts).repartition(4)
+    monkeypatch.setattr(jaccard_join, "PARTITION_BYTES", 2_000)
+    monkeypatch.setattr(jaccard_join, "SHUFFLED", 3)
     assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()} == want
     assert len(set(want.values())) < len(texts)
 
