@@ -116,4 +116,5 @@ def token_counts(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFr
     """``doc_id`` and ``n_tokens`` per row of ``docs``: encodes, writes flat files, counts by scanning them."""
     places = write_flat(docs, folder, path, end_id)
     counts = scan_counts(docs.sparkSession, f"{folder}/tokens", end_id)
-    return places.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # The planner takes the counts for small, as they come from a list of files; they are one row per document.
+    return places.join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
