@@ -18,7 +18,7 @@ import tokenizers
 from coinslot.llm.rows import filled
 
 #: Words a worker remembers; beyond that it starts afresh. Bounds memory, changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 #: Words of printable ASCII and lower-case Latin-1 letters, and their pieces as the file's own splitter
 #: cuts them. Fixed values.
