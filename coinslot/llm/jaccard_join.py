@@ -31,7 +31,7 @@ from coinslot.session import materialise
 #: Words of an n-gram, and the similarity that links, in per cent.
 WORDS, PERCENT = 5, 75
 #: Text of a chunk, at most, and of one partition of n-grams, about, in bytes.
-CHUNK_BYTES, PARTITION_BYTES = 6_000_000, 8_000_000
+CHUNK_BYTES, PARTITION_BYTES = 4_000_000, 8_000_000
 #: Partitions of the shuffle, at most; each then works through several partitions of n-grams.
 SHUFFLED = 20_000
 #: Documents of a chunk, at most (their numbers have 16 bits).
