@@ -24,8 +24,8 @@ from coinslot.llm.words import encoder, with_end
 CAPACITY = 4096
 #: Cost of n tokens that attend to each other: LINEAR * n + n * n, for a model of width 1024 about 12 * 1024 / 2.
 LINEAR = 6144
-#: Tokens that are packed together: bounds a task's memory. Padding is below one sequence in about 1000.
-GROUP_TOKENS = 4_000_000
+#: Tokens that are packed together: bounds a task's memory. Padding is below one sequence in about 250.
+GROUP_TOKENS = 1_000_000
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
