@@ -389,3 +389,99 @@ def test_license_scan(spark):
     assert all(any(a in s for a in license_scan.ANCHORS) for s in license_scan.SENTENCES.values())
     plan = license_scan.scan_licenses(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE = """Copyright 2020 Some Holder
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+BSD = """Copyright 2020 Some Holder
+
+Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list
+of conditions and the following disclaimer in the documentation and/or other materials
+provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT DAMAGES.
+"""
+THIRD = """
+3. Neither the name of {} nor the names of its contributors may be used
+to endorse or promote products derived from this software without specific prior
+written permission.
+"""
+
+
+def test_license_scan_standard_texts(spark):
+    commented = lambda text, mark: "".join(f"{mark} {line}".rstrip() + "\r\n" for line in text.split("\n"))
+    cases = [
+        (MIT, "MIT"), (MIT.split("\n\n", 2)[2], "MIT"), (commented(MIT, " *"), "MIT"), (MIT.replace("MIT License\n\n", ""), "MIT"),
+        (" ".join(MIT.split("\n\n", 2)[2].split()), "MIT"), (APACHE, "Apache-2.0"), (commented(APACHE, "#"), "Apache-2.0"), (APACHE.replace("http:", "https:"), "Apache-2.0"),
+        (GPL, "GPL-3.0"), (commented(GPL, "//"), "GPL-3.0"), (GPL.replace("This program is free", "Coinslot is free"), "GPL-3.0"),
+        (GPL.replace("version 3", "version 2"), ""), (MPL, "MPL-2.0"), (commented(MPL, "#"), "MPL-2.0"),
+        (BSD.format(""), "BSD-2-Clause"), (BSD.format(THIRD.format("the copyright holder")), "BSD-3-Clause"),
+        (BSD.format(THIRD.format("Some Holder Inc.")), "BSD-3-Clause"), (BSD.format("").replace("COPYRIGHT HOLDERS AND", "REGENTS AND"), "BSD-2-Clause"),
+        ("This project is released under the MIT License.", "MIT"), ("SPDX-License-Identifier: MIT", "MIT"),
+        ("// SPDX-License-Identifier: Apache-2.0\ncode", "Apache-2.0"), ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("This software is distributed under the terms of the\nGNU General Public License v3.0 or later? no", ""),
+        ("Foo Inc. Released under the MIT License\nand more", "MIT"), ("Released under CC BY 4.0.", "CC-BY-4.0"),
+        ("The software is not released under the MIT License.", ""), ("Released under the MIT License of 1988.", ""),
+        ("This work is licensed under a Creative Commons Attribution 4.0\nInternational License.", "CC-BY-4.0"),
+        (MIT + GPL, "GPL-3.0,MIT"),
+    ]
+    rows = license_scan.scan_licenses(table(spark, [text for text, _ in cases])).collect()
+    got = {r.doc_id: r.licenses for r in rows}
+    assert [(cases[i][0], got[i]) for i in range(len(cases))] == cases
