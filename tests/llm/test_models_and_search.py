@@ -128,3 +128,30 @@ def test_pipeline_stages_on_edges(spark, folder, texts):
         stage(spark, docs, SF).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     assert docs.count() == 0 or texts
+
+
+def test_pipeline_exact_stage_keeps_one_row_per_text(spark):
+    """Repeated, shared and null ids, by their exact rows."""
+    texts = ["A", "A", "B", "C", "C", "C ", "D", "D", "D", "E é\U0001f600", "E\té \U0001f600", None, "", " \v\f", "F", "F"]
+    ids = [0, 1, 1, 2, 2, 2, None, None, 7, None, None, 8, 9, None, 3, 3]
+    docs = table(spark, texts, ids)
+    for given in (docs, docs.repartition(5), docs.orderBy(F.desc("text")).coalesce(1)):
+        kept = corpus_pipeline.exact_copies(spark, given, SF)
+        assert kept.columns == docs.columns
+        got = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
+        assert got == [("0", "A"), ("1", "B"), ("2", "C "), ("3", "F"), ("7", "D"), ("None", " \v\f"), ("None", "E\té \U0001f600")]
+
+
+def test_pipeline_near_stage_tells_rows_of_an_id_apart(spark):
+    """A unique text stays although its id is also on a near copy; near copies without an id go."""
+    base = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcd"]
+    texts = [base[0], base[0] + " x", "own words of one", base[1], base[1] + " x", base[2], base[2] + " x", base[3], "", ""]
+    ids = [0, 1, 1, None, None, 9, 5, 6, None, 1]
+    docs = table(spark, texts, ids)
+    kept = corpus_pipeline.near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert sorted((str(r.doc_id), r.text[:6]) for r in got if r.doc_id is not None) == [
+        ("0", "a0 a1 "), ("1", ""), ("1", "own wo"), ("5", "c0 c1 "), ("6", "d0 d1 ")
+    ]
+    assert sorted(r.text[:6] for r in got if r.doc_id is None) == ["", "b0 b1 "]
