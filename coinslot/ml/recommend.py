@@ -6,6 +6,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from coinslot.session import materialise
+
 
 def dense_codes(df: DataFrame, column: str, out: str) -> DataFrame:
     """``column`` with codes 0..n-1, in the order of the MD5 of the id.
@@ -52,20 +54,30 @@ def popular_items(interactions: DataFrame, by: str, k: int) -> DataFrame:
     return totals.orderBy(F.desc("total"), "product_id").limit(k).select("product_id")
 
 
-def top_items(training: DataFrame, items: DataFrame, model: ALSModel, k: int) -> DataFrame:
-    """The ``k`` best of a short item list per player, without what the player has: player, item, score, rank.
+def best_items(training: DataFrame, model: ALSModel, k: int) -> DataFrame:
+    """The ``k`` best of all titles per player, without what the player has: player, item, score, rank.
 
-    The list is the caller's report of popular items: it is collected and repeated per player, so a player
-    has as many rows as the list at most. Players or items the model does not know score 0.
+    A player who has n titles is scored for k + n at least, so fewer than k are left only where the
+    catalog has no more. Players with similar counts are scored together, a call per power of two.
     """
-    listed = [r[0] for r in items.select("product_id").collect()]
-    players = training.select("player_id", "player_code").distinct()
-    codes = training.select("product_id", "item_code").distinct()
-    asked = players.withColumn("product_id", F.explode(F.array(*[F.lit(i) for i in listed])))
-    fresh = asked.join(training.select("player_id", "product_id"), ["player_id", "product_id"], "left_anti").join(codes, "product_id", "left")
-    scored = model.transform(fresh.withColumns({c: F.col(c).cast("int") for c in ("player_code", "item_code")}))
-    scored = scored.withColumn("prediction", F.coalesce(F.nanvl("prediction", F.lit(0.0)), F.lit(0.0)))
+    owned = training.groupBy("player_code").agg(F.count_distinct("item_code").alias("n"))
+    sized = materialise(
+        owned.select(F.col("player_code").cast("int").alias("player_code"), F.ceil(F.log2("n")).cast("int").alias("power")), "recommend-sizes"
+    )
+    listed = None
+    for power in sorted(r.power for r in sized.select("power").distinct().collect()):
+        some = model.recommendForUserSubset(sized.filter(F.col("power") == power), k + 2**power)
+        listed = some if listed is None else listed.unionByName(some)
+    if listed is None:
+        return training.select("player_id", "product_id", F.lit(0.0).cast("float").alias("prediction"), F.lit(0).alias("rank")).limit(0)
+    scored = listed.select("player_code", F.explode("recommendations").alias("r")).select(
+        F.col("player_code").cast("long").alias("player_code"), F.col("r.item_code").cast("long").alias("item_code"), F.col("r.rating").alias("prediction")
+    )
+    fresh = scored.join(training.select("player_code", "item_code"), ["player_code", "item_code"], "left_anti")
+    named = fresh.join(training.select("player_id", "player_code").distinct(), "player_code").join(
+        training.select("product_id", "item_code").distinct(), "item_code"
+    )
     order = Window.partitionBy("player_id").orderBy(F.desc("prediction"), "product_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+    return named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "player_id", "product_id", "prediction", "rank"
     )

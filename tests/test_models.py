@@ -131,3 +131,31 @@ def test_forecast_model_beats_nothing_known(spark):
     assert base.mae == 0.0
     model = metrics.forecast_errors(forecast.apply_forecast(forecast.fit_forecast(split), split), "revenue", "forecast", features.SERIES).first()
     assert model.mae < 0.5
+
+
+def test_recommender_lists_titles_beyond_the_popular_and_fills_every_list(spark):
+    """p0 has the 60 most bought titles, p1 most of them, p2 all titles but three; unpopular titles come up."""
+    own = {"p0": range(60), "p1": range(45), "p2": range(3, 80)} | {f"q{u}": [*range(0, 60, 3), 60 + u, 61 + u] for u in range(19)}
+    rows = [(u, f"i{i:02}", 2.0) for u, items in own.items() for i in items]
+    pairs = spark.createDataFrame(rows, "player_id string, product_id string, confidence double")
+    labels = pairs.select("player_id", F.lit(0).alias("is_churned")).distinct()
+    training = recommend.training_set(pairs, labels).cache()
+    got = recommend.best_items(training, recommend.fit_recommender(training, rank=4), 10).collect()
+    by_player = {}
+    for r in got:
+        by_player.setdefault(r.player_id, {})[r["rank"]] = r.product_id
+    assert {u: len(set(x.values())) for u, x in by_player.items()} == {u: 3 if u == "p2" else 10 for u in own}
+    assert all(sorted(x) == list(range(1, len(x) + 1)) for x in by_player.values())
+    assert all(not {int(i[1:]) for i in x.values()} & set(own[u]) for u, x in by_player.items())
+    assert all(int(i[1:]) >= 60 for i in by_player["p0"].values())
+    assert recommend.best_items(training.limit(0), recommend.fit_recommender(training, rank=4), 10).count() == 0
+
+
+def test_recall_of_the_model_uses_titles_it_has_not_seen(spark):
+    """Two groups of players buy two groups of titles; the newest title of each is held out."""
+    from coinslot.checks.queries import model_recall
+
+    rows = [(f"p{u}", f"i{i:02}", 2.0, 1 + (i // 2 + u) % 14) for u in range(28) for i in range(28) if u % 2 == i % 2]
+    ranked = spark.createDataFrame([*rows, ("lone", "i00", 2.0, 1)], "player_id string, product_id string, confidence double, _rank_desc int")
+    row = model_recall(ranked).first()
+    assert row.relevant == 29 and row.hits == 28
