@@ -73,8 +73,9 @@ def normalised(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[kept], np.concatenate([[0], np.cumsum(kept)])[bounds]
 
 
-def signed_rows(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``n_bytes`` (normalised), ``f1``, ``f2``, ``points`` (code points as given), ``sha``."""
+def signed_rows(docs: DataFrame, id_column: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+    """Per row: ``doc_id``, ``n_bytes`` (normalised), ``f1``, ``f2``, ``points`` (code points as given), ``sha``, on demand ``text``."""
+    given = ["text"] if with_text else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,10 +88,11 @@ def signed_rows(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
                     part.column("doc_id"), pa.array(np.diff(bounds)), pa.array([m[0] for m in marks], pa.int64()),
                     pa.array([m[1] for m in marks], pa.int64()), pc.utf8_length(texts).cast(pa.int64()), pa.array(shas),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "f1", "f2", "points", "sha"])
+                columns += [part.column(c) for c in given]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "f1", "f2", "points", "sha", *given])
 
     columns = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return columns.mapInArrow(run, "doc_id long, n_bytes long, f1 long, f2 long, points long, sha string")
+    return columns.mapInArrow(run, ", ".join(["doc_id long, n_bytes long, f1 long, f2 long, points long, sha string", *(f"{c} string" for c in given)]))
 
 
 def _chunks(members: DataFrame) -> DataFrame:
@@ -132,8 +134,12 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     reduced = [best.alias("best"), F.count("*").alias("group_size")]
     groups = rows.groupBy(*key).agg(*reduced)
     several = rows.join(groups.filter("group_size > 1 AND n_bytes > 0").select(*key), key, "left_semi").select("doc_id", *key)
-    given = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text).cast("string").alias("text"))
-    members = given.join(several.distinct(), F.col("_id").eqNullSafe(F.col("doc_id")))
+    # A text is met by its own id and key only, so an id with many texts, null too, multiplies none of them.
+    listed = several.distinct().select(F.col("doc_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in key])
+    own = F.col("doc_id").eqNullSafe(F.col("_id"))
+    for c in key:
+        own = own & (F.col(c) == F.col(f"_{c}"))
+    members = signed_rows(docs, id_column, text, True).select("doc_id", *key, "text").join(listed, own, "left_semi")
     differing = _chunks(members).groupBy(*key, "part").agg(F.min("piece").alias("low"), F.max("piece").alias("high"))
     mixed = materialise(differing.filter("low <> high").select(*key).distinct(), "exact-mixed")
 

@@ -485,3 +485,13 @@ def test_license_scan_standard_texts(spark):
     rows = license_scan.scan_licenses(table(spark, [text for text, _ in cases])).collect()
     got = {r.doc_id: r.licenses for r in rows}
     assert [(cases[i][0], got[i]) for i in range(len(cases))] == cases
+
+
+def test_exact_dedup_compares_each_row_once(spark, monkeypatch):
+    """A null id and a repeated id with several groups each: no text is met by the keys of others."""
+    counts, chunks = [], exact_dedup._chunks
+    monkeypatch.setattr(exact_dedup, "_chunks", lambda m: counts.append(m.count()) or chunks(m))
+    found = [f"text {i}" for i in range(5)] * 4 + ["own", None, ""]
+    rows = exact_dedup.exact_groups(table(spark, found * 2, [None] * len(found) + [7] * len(found))).collect()
+    assert counts == [42] and sorted(r.group_size for r in rows) == [2] * 2 + [4] * 4 + [8] * 40
+    assert all(r.keep_id == 7 and r.kept == (r.doc_id == 7) for r in rows)
