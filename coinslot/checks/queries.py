@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coinslot.functions.expr import net_revenue, release_era
+from coinslot.functions.expr import net_revenue, ratio, release_era
 from coinslot.ml import churn, forecast, metrics, recommend, similarity
 from coinslot.model import schemas, views
 from coinslot.model.dims import dim_channel, dim_console
@@ -27,7 +27,7 @@ from coinslot.streaming import events as stream_events
 
 AS_OF = "DATE '2001-12-31'"
 AS_OF_TS = "TIMESTAMP '2001-12-31 00:00:00'"
-LSH_REACH = 6.5
+LSH_NEAR, LSH_RECALL = 0.05, 0.9
 WEIGHTS = churn.LogisticWeights(intercept=0.4, recency_days=0.01, tenure_days=-0.0002, log_ltv=-0.1)
 
 EVENT_FIELDS = (
@@ -797,15 +797,41 @@ def embedding_topk(spark, sf):
     return similarity.cosine_topk(read(spark, sf, "embeddings"), label_centroids(spark, sf), 10, "vec_id")
 
 
+def lsh_search(rows, asked, tables=6):
+    """Exact squared distances of all pairs with the approximate ``distance`` where found, and the reach.
+
+    The reach is the distance below which one pair in twenty lies, so it tells rows apart on any data.
+    """
+    exact = materialise(similarity.squared_distances(rows, asked, "vec_id"), "distances")
+    reach = float(np.sqrt((exact.approxQuantile("squared", [LSH_NEAR], 0.001) or [0.0])[0]))
+    found = similarity.lsh_matches(rows, asked, reach, "vec_id", bucket_length=1.0, tables=tables)
+    return exact.join(materialise(found, "lsh"), ["query_id", "vec_id"], "left"), reach
+
+
+def lsh_recall(both, reach):
+    """Per query: how many rows lie within the reach, and which share of them was found."""
+    near = F.col("squared") < reach**2
+    return both.groupBy("query_id").agg(
+        F.count_if(near).alias("near"), F.coalesce(ratio(F.count_if(near & F.col("distance").isNotNull()), F.count_if(near)), F.lit(1.0)).alias("recall")
+    )
+
+
 @query
 def embedding_lsh(spark, sf):
-    """Per query, the approximate matches against the exact distances: all within the threshold and right."""
-    rows, asked = read(spark, sf, "embeddings"), label_centroids(spark, sf)
-    found = similarity.lsh_matches(rows, asked, LSH_REACH, "vec_id", bucket_length=1.0, tables=6)
-    exact = similarity.squared_distances(rows, asked, "vec_id")
-    both = exact.join(found, ["query_id", "vec_id"], "left")
-    near = F.col("squared") <= LSH_REACH**2
-    return both.groupBy(F.col("query_id").cast("long").alias("query_id")).agg(
-        F.coalesce(F.bool_and(F.when(F.col("distance").isNotNull(), F.abs(F.col("distance") - F.sqrt("squared")) < 1e-4)), F.lit(True)).alias("exact"),
-        (F.count_if(near & F.col("distance").isNotNull()) >= 0.5 * F.count_if(near)).alias("half_found"),
+    """Per query, the approximate matches against the exact distances: right, and nine in ten of those within the reach."""
+    both, reach = lsh_search(read(spark, sf, "embeddings"), label_centroids(spark, sf))
+    right = both.groupBy("query_id").agg(
+        F.coalesce(F.bool_and(F.when(F.col("distance").isNotNull(), F.abs(F.col("distance") - F.sqrt("squared")) < 1e-4)), F.lit(True)).alias("exact")
+    )
+    return right.join(lsh_recall(both, reach), "query_id").select(
+        F.col("query_id").cast("long").alias("query_id"), "exact", (F.col("recall") >= LSH_RECALL).alias("half_found")
     )
+
+
+@query
+def embedding_lsh_matches(spark, sf):
+    """The matches themselves, each with its query's recall."""
+    both, reach = lsh_search(read(spark, sf, "embeddings"), label_centroids(spark, sf))
+    matches = both.filter("distance IS NOT NULL").select("query_id", "vec_id", "distance")
+    return matches.join(lsh_recall(both, reach).select("query_id", "recall"), "query_id")
+

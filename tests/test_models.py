@@ -159,3 +159,24 @@ def test_recall_of_the_model_uses_titles_it_has_not_seen(spark):
     ranked = spark.createDataFrame([*rows, ("lone", "i00", 2.0, 1)], "player_id string, product_id string, confidence double, _rank_desc int")
     row = model_recall(ranked).first()
     assert row.relevant == 29 and row.hits == 28
+
+
+def test_lsh_reach_follows_the_distances_and_recall_is_measured(spark):
+    """Vectors spread by 1 and by 50: one pair in twenty is near in both, found rows are matches, the rest is missed."""
+    from coinslot.checks.queries import lsh_recall, lsh_search
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(400, 6))
+    for spread in (1.0, 50.0):
+        vectors = [(i, (v * spread).tolist()) for i, v in enumerate(base)]
+        catalog = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+        asked = spark.createDataFrame(vectors[:5], "query_id long, embedding array<double>")
+        both, reach = lsh_search(catalog, asked)
+        exact = [(q, i, np.linalg.norm(base[i] - base[q]) * spread) for q in range(5) for i in range(400)]
+        near = {(q, i) for q, i, d in exact if d < reach}
+        assert 0.03 * len(exact) < len(near) < 0.07 * len(exact)
+        found = {(r.query_id, r.vec_id) for r in both.filter("distance IS NOT NULL").collect()}
+        assert found <= near
+        for r in lsh_recall(both, reach).collect():
+            own = {p for p in near if p[0] == r.query_id}
+            assert r.near == len(own) and r.recall == pytest.approx(len(own & found) / len(own) if own else 1.0)
