@@ -232,7 +232,7 @@ def periodic_runs(docs: DataFrame, least: int = LEAST, id_column: str = "doc_id"
                 columns = [
                     part.column("doc_id"),
                     pa.ListArray.from_arrays(pa.array(of_row, pa.int32()), listed),
-                    pc.binary_join(lists, " ").cast(pa.string()),
+                    pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "runs", "collapsed"])
 

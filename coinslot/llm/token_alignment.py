@@ -248,7 +248,9 @@ def score_links(aligned: DataFrame) -> DataFrame:
     """
     counts = materialise(pair_counts(aligned), "pair-counts")
     listed = aligned.filter("pairs IS NOT NULL").select("chunk", F.inline("pairs")).drop("n")
-    answers = listed.join(counts, ["id_a", "id_b"]).select("chunk", "id_a", "id_b", "count", "best")
+    answers = listed.join(counts, ["id_a", "id_b"]).select(
+        F.col("chunk").alias("of_chunk"), "id_a", "id_b", "count", "best"
+    )
     rows = aligned.drop("pairs")
     kept = [f for f in rows.schema if f.name not in ("chunk", "codes")]
 
@@ -264,4 +266,4 @@ def score_links(aligned: DataFrame) -> DataFrame:
         return out
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, f"{schema}, n_best long, count_sum long")
+    return rows.groupBy("chunk").cogroup(answers.groupBy("of_chunk")).applyInArrow(score, f"{schema}, n_best long, count_sum long")
