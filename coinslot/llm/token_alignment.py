@@ -29,8 +29,9 @@ from coinslot.session import materialise
 
 #: Bytes of text in a chunk; a longer single text is a chunk of its own.
 CHUNK_BYTES = 2_000_000
-#: Characters of words a worker remembers for the piece model; beyond that it starts afresh.
-REMEMBERED_CHARS = 8_000_000
+#: Bytes that the words a worker remembers for the piece model may take, and what a word takes beside its
+#: characters; beyond that it starts afresh. Bounds memory, changes no result.
+REMEMBERED_BYTES, WORD_BYTES = 48_000_000, 350
 #: Spaces and the word behind them: no piece of the model goes on over such a border.
 SPACED = re.compile(" +[^ ]*")
 
@@ -62,11 +63,11 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another and where each starts; texts begin with a space, which the model adds."""
-        if self.held > REMEMBERED_CHARS:
+        if self.held > REMEMBERED_BYTES:
             self.known, self.held = {}, 0
         words = [SPACED.findall(t) for t in texts]
         fresh = [w for w in dict.fromkeys(w for of in words for w in of) if w not in self.known]
-        self.held += sum(map(len, fresh))
+        self.held += sum(map(len, fresh)) + WORD_BYTES * len(fresh)
         # A single space is a text without characters to the model, which has no pieces for it.
         found = self.model.encode([w[1:] for w in fresh], num_threads=1) if fresh else []
         self.known.update((w, np.array(ids if len(w) > 1 else [self.space], np.int64)) for w, ids in zip(fresh, found))
