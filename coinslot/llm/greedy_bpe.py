@@ -26,8 +26,12 @@ from pyspark.sql import functions as F
 from coinslot.llm.byte_bpe import SPACES
 from coinslot.llm.rows import filled, slices
 
-#: Bytes of words a worker remembers; beyond that it starts afresh. Bounds memory, changes no result.
-REMEMBERED_BYTES = 16_000_000
+#: Bytes that the words a worker remembers may take, and what a word takes beside its characters; beyond
+#: that it starts afresh. Bounds memory, changes no result.
+REMEMBERED_BYTES, WORD_BYTES = 48_000_000, 150
+
+#: Bytes of text encoded at once; a longer single text is encoded alone.
+SLICE = 2_000_000
 
 #: White space before a word, and the word; white space at the end stands alone.
 SEGMENT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
@@ -258,7 +262,7 @@ class GreedyEncoder:
         self.slots.update(zip(words, range(self.count, self.count + len(words))))
         self.used += len(ids)
         self.count += len(words)
-        self.held += sum(map(len, words))
+        self.held += sum(map(len, words)) + WORD_BYTES * len(words)
 
     def _pieces(self, word: str) -> list[str]:
         if PLAIN.fullmatch(word):
@@ -314,13 +318,18 @@ def encoder(path: str, special: bool = True) -> GreedyEncoder:
     return GreedyEncoder(path, special)
 
 
-def token_bytes(path: str) -> pa.BinaryArray:
+@functools.lru_cache(maxsize=2)
+def token_bytes(path: str) -> pa.LargeBinaryArray:
     """The bytes of every id; an added token has its own text, an id without token nothing."""
-    enc = encoder(path)
-    size = max([enc.table.size, *(i + 1 for i in enc.added.values())])
-    table = enc.table.bytes + [b""] * (size - enc.table.size)
-    for literal, number in enc.added.items():
-        table[number] = literal.encode()
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    vocabulary, added = content["model"]["vocab"], content["added_tokens"]
+    table = [b""] * (max([*vocabulary.values(), *(t["id"] for t in added)]) + 1)
+    letters = byte_letters()
+    for token, number in vocabulary.items():
+        table[number] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+    for token in added:
+        table[token["id"]] = token["content"].encode()
     return pa.array(table, pa.large_binary())
 
 
@@ -334,7 +343,7 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids, starts = enc.encode(filled(part.column("text")).to_pylist())
                 lists = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(part), [None, pa.py_buffer(starts * 4), pa.py_buffer(ids.astype("<u4"))]
@@ -355,12 +364,13 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
         for batch in batches:
-            texts = []
-            for ids in batch.column("ids").to_pylist():
-                joined = table.take(pa.array(np.frombuffer(ids or b"", "<u4")))
-                bounds = np.frombuffer(joined.buffers()[1], np.int64)
-                data = joined.buffers()[2]
-                texts.append(data[int(bounds[0]) : int(bounds[len(joined)])].to_pybytes().decode("utf-8", "replace") if data else "")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            for part in slices(batch, "ids"):
+                texts = []
+                for ids in part.column("ids"):
+                    joined = table.take(pa.array(np.frombuffer(ids.as_buffer() or b"", "<u4")))
+                    bounds = np.frombuffer(joined.buffers()[1], np.int64)
+                    data = joined.buffers()[2]
+                    texts.append(data[int(bounds[0]) : int(bounds[len(joined)])].to_pybytes().decode("utf-8", "replace") if data else "")
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
