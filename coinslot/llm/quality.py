@@ -171,7 +171,7 @@ def fit(sample: DataFrame) -> tuple[np.ndarray, float]:
         table, bias = train(texts, rows.column("label").to_numpy().astype(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary()), pa.array([bias])], names=["model", "bias"])
 
-    rows = sample.select("doc_id", "text", "label").coalesce(1).mapInArrow(run, "model binary, bias double").collect()
+    rows = sample.select("doc_id", "text", "label").repartition(1).mapInArrow(run, "model binary, bias double").collect()
     model = rows[0] if rows else None
     return (np.frombuffer(model[0], np.float64), model[1]) if model else (np.zeros(BUCKETS), 0.0)
 
