@@ -70,15 +70,16 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return stored.withColumns({"file": F.col("_metadata.file_path"), "row": F.col("_metadata.row_index")})
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
+def with_starts(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Adds ``start``, the count of ids of all documents before, to rows that have doc_id, n_tokens, file and row.
 
     Positions come from two steps: a running count within each file, whose rows are bounded by the
     writer, and the sum of the files before (one row per file). Leave wide columns out of ``rows``,
-    as they are shuffled by file.
+    as they are shuffled by file. ``stored``, the same rows as read, spares computing ``rows`` a second
+    time for the sums.
     """
     count = F.col("n_tokens").cast("long")
-    files = rows.groupBy("file").agg(F.sum(count).alias("_tokens"), F.min("doc_id").alias("_first"))
+    files = (rows if stored is None else stored).groupBy("file").agg(F.sum(count).alias("_tokens"), F.min("doc_id").alias("_first"))
     order = Window.orderBy(F.asc_nulls_first("_first"), "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("_tokens").over(order), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
