@@ -43,7 +43,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "token-store")
     token_store.write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path(WORDS), END)
-    rows = token_store.with_starts(token_store.checksums(token_store.read_tokens(spark, folder)))
+    stored = token_store.read_tokens(spark, folder)
+    rows = token_store.with_starts(token_store.checksums(stored), stored)
     return rows.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
 
 

@@ -34,7 +34,8 @@ def write_flat(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        # A special token's name inside a text is plain text here, or it would close a document.
+        encode = encoder(path, False).encode
         store, base = fs.FileSystem.from_uri(folder)
         task = TaskContext.get()
         name = f"{task.partitionId():06d}.bin"

@@ -27,11 +27,17 @@ PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizers file whose splitter cuts at white space."""
+    """Ids of whole texts by a tokenizers file whose splitter cuts at white space.
 
-    def __init__(self, path: str) -> None:
+    ``special``: names of the file's special tokens inside a text are those tokens, the library's default;
+    otherwise they are plain text.
+    """
+
+    def __init__(self, path: str, special: bool = True) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder() if special else {}
+        self.special = {token.content: number for number, token in added.items()}
         self._forget()
 
     def _forget(self) -> None:
@@ -44,6 +50,8 @@ class WordEncoder:
 
     def _word(self, word: str) -> list[int]:
         """Plain words are cut here and their pieces looked up; all others take the library's whole way."""
+        if word in self.special:
+            return [self.special[word]]
         lower = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
         if not PLAIN.fullmatch(lower):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -75,7 +83,12 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint32) of all texts one after another, and where each text starts (with the end). Null: empty."""
-        split = pc.ascii_split_whitespace(filled(texts))
+        texts = filled(texts)
+        for name in self.special:
+            # Such a name is a word of its own, whatever it touches; white space between words gives no ids.
+            if pc.any(pc.match_substring(texts, name)).as_py():
+                texts = pc.replace_substring(texts, name, f" {name} ")
+        split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.slots) > REMEMBERED:
@@ -94,9 +107,9 @@ class WordEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, special: bool = True) -> WordEncoder:
     """The worker's encoder for a file: loaded once per Python worker."""
-    return WordEncoder(path)
+    return WordEncoder(path, special)
 
 
 def with_end(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

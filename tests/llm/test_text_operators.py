@@ -48,10 +48,13 @@ def texts():
     return base + edited + odd + base[:5] + [base[6].upper(), base[7].replace(" ", "\n"), base[6]]
 
 
-def test_word_encoder_is_the_library(texts):
+@pytest.mark.parametrize("special", [True, False])
+def test_word_encoder_is_the_library(texts, special):
     tk = tokenizers.Tokenizer.from_file(WORDS)
-    tk.encode_special_tokens = True
-    enc = WordEncoder(WORDS)
+    tk.encode_special_tokens = not special
+    enc = WordEncoder(WORDS, special)
+    marks = ["a <|endoftext|> b", "x<|endoftext|><|startoftext|>\u0301e's", "<|EndOfText|> <|endoftext|", "e<|startoftext|>\u0301", "<|<|endoftext|>|>"]
+    texts = texts + marks
     for _ in range(2):
         ids, starts = enc.encode(pa.array(texts, pa.string()))
         got = [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])]
@@ -78,9 +81,9 @@ def test_byte_bpe_cuts_long_texts_safely():
         assert byte_bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
 
 
-def library_ids(texts):
+def library_ids(texts, special=True):
     tk = tokenizers.Tokenizer.from_file(WORDS)
-    tk.encode_special_tokens = True
+    tk.encode_special_tokens = not special
     return [tk.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
@@ -93,7 +96,7 @@ def test_token_store(spark, folder, texts):
     ids = [i + [2] for i in library_ids(texts)]
     assert {r.doc_id: r.ids for r in stored.collect()} == dict(enumerate(ids))
     starts = np.cumsum([0] + [len(i) for i in ids])
-    for r in token_store.with_starts(token_store.checksums(stored)).collect():
+    for r in token_store.with_starts(token_store.checksums(stored), stored).collect():
         assert r.start == starts[r.doc_id] and r.n_tokens == len(ids[r.doc_id])
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id], "<u4").tobytes())
 
@@ -123,7 +126,7 @@ def test_token_store_without_rows_and_with_null_ids(spark, folder):
 def test_token_counts_by_scanning_blocks(spark, folder, texts):
     docs = table(spark, texts).repartition(3)
     places = token_counts.write_flat(docs, f"{folder}/f", WORDS, 49407)
-    want = {i: len(x) for i, x in enumerate(library_ids(texts))}
+    want = {i: len(x) for i, x in enumerate(library_ids(texts, False))}
     for block in (2, 62, 4096, token_counts.BLOCK_BYTES):
         if block == 2:
             continue
