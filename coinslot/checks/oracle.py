@@ -485,6 +485,13 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "stream_restart": ((), "SELECT * FROM events"),
     "rt_revenue": (("slid",), "SELECT * FROM slid"),
     "rt_revenue_panes": (("slid",), "SELECT * FROM slid"),
+    "stream_early_panes": (
+        ("good",),
+        """SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end, platform, channel_code,
+             sum(net_revenue::DECIMAL(18,4))::DOUBLE AS net_revenue, count(*) AS events
+           FROM (SELECT *, time_bucket(INTERVAL 15 SECOND, occurred_at) - to_seconds(15 * i) AS window_start
+             FROM good CROSS JOIN range(4) t(i)) GROUP BY ALL""",
+    ),
     "late_data": (
         ("good",),
         """SELECT window_start, window_end, platform, channel_code, sum(net_revenue::DECIMAL(18,4))::DOUBLE AS net_revenue
@@ -551,9 +558,9 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "churn_model": (("p360",), "SELECT player_id, TRUE AS scored FROM p360"),
     "recommend_als": (
         ("inter",),
-        """SELECT player_id, least(10, 50 - own)::BIGINT AS items, least(10, 50 - own)::BIGINT AS last_rank, least(10, 50 - own)::BIGINT AS titles
-           FROM (SELECT player_id, count(DISTINCT product_id) FILTER (product_id IN (SELECT product_id FROM inter GROUP BY product_id
-               ORDER BY sum(purchases) DESC, product_id LIMIT 50)) AS own FROM inter GROUP BY player_id) WHERE own < 50""",
+        """SELECT player_id, least(10, titles - own)::BIGINT AS items, least(10, titles - own)::BIGINT AS last_rank, least(10, titles - own)::BIGINT AS titles
+           FROM (SELECT player_id, count(DISTINCT product_id) AS own, (SELECT count(DISTINCT product_id) FROM inter) AS titles
+               FROM inter GROUP BY player_id) WHERE own < titles""",
     ),
     "forecast_model": (
         ("split",),

@@ -22,7 +22,7 @@ from coinslot.operators.dedup import append_dedup, best_row
 from coinslot.plans import catalog, features, gold, lookups, refresh, silver
 from coinslot.session import materialise, shared_dir, tune
 from coinslot.sources import files
-from coinslot.streaming import backfill, monitor, runs, windows
+from coinslot.streaming import backfill, early_panes, monitor, runs, windows
 from coinslot.streaming import events as stream_events
 
 AS_OF = "DATE '2001-12-31'"
@@ -505,6 +505,31 @@ def rt_revenue_panes(spark, sf):
     return windows.panes_total(sink.panes())
 
 
+@query
+def stream_early_panes(spark, sf):
+    """Panes fired by processing time from keyed state. The stream stops after its first landing with panes still
+    unfired and resumes from its checkpoint after the second: the panes add up to the windows, none comes twice."""
+    root = shared_dir(spark, "early")
+    rows = read(spark, sf, "events")
+    sink = runs.folder_per_batch(f"{root}/panes")
+    for landing, part in enumerate((F.dayofmonth("ts") <= 15, F.dayofmonth("ts") > 15)):
+        rows.filter(part).repartition(3, "event_id").write.parquet(f"{root}/landing/part={landing}")
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing/*")
+        good, _ = stream_events.parse_with_dlq(views.purchase_messages(source))
+        panes = early_panes.early_panes(good, delay_ms=1000)
+        if landing == 0:
+            # Without batches for timers alone, the run ends with its input and leaves the last panes in state.
+            spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+            try:
+                runs.finish(runs.each_batch(panes, sink, f"{root}/checkpoint"))
+            finally:
+                spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+        else:
+            early_panes.finish_when_drained(runs.each_batch(panes, sink, f"{root}/checkpoint", interval="2 seconds"))
+    fired = spark.read.parquet(f"{root}/panes")
+    return fired.groupBy(*windows.CELL).agg(F.sum("pane").cast("double").alias("net_revenue"), F.sum("events").alias("events"))
+
+
 def two_landings(spark, sf):
     """Every tenth event arrives in a second landing; panes so far, and the tagged messages."""
     root = shared_dir(spark, "late")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from coinslot.model.schemas import BRONZE_EVENT
 from coinslot.operators import layout
 from coinslot.sources.brokers import file_messages
-from coinslot.streaming import backfill, events, monitor, runs, windows
+from coinslot.streaming import backfill, early_panes, events, monitor, runs, windows
 
 T0 = datetime(2024, 1, 1)
 
@@ -189,3 +189,47 @@ def test_continuous_trigger_stops_on_request(spark, folder):
     assert query.isActive
     query.stop()
     assert spark.read.parquet(f"{folder}/out").count() == 1
+
+
+def early_run(spark, folder, drain, delay_ms=500, slices=3):
+    good, _ = events.parse_with_dlq(file_messages(spark, f"{folder}/in", max_files=1))
+    panes = early_panes.early_panes(good, delay_ms=delay_ms, slices=slices)
+    body = runs.folder_per_batch(f"{folder}/panes")
+    if drain:
+        return early_panes.finish_when_drained(runs.each_batch(panes, body, f"{folder}/cp", interval="2 seconds"), timeout=120)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        return runs.finish(runs.each_batch(panes, body, f"{folder}/cp"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
+def test_early_panes_survive_a_restart_and_add_up(spark, folder):
+    land(f"{folder}/in", "a.json", [message(n, 10 * n) for n in range(6)] + ["broken"])
+    stopped = early_run(spark, folder, drain=False, delay_ms=2000)
+    assert spark.read.parquet(f"{folder}/panes").count() == 0
+    assert stopped.lastProgress["stateOperators"][0]["numRowsTotal"] > 0
+    # Other rows of the same windows, a copy of a row, an event far in the past, and nothing else.
+    land(f"{folder}/in", "b.json", [message(0), message(9, 5, quantity=3), message(10, -86400), message(11, 1, unit_price=0.0001)])
+    early_run(spark, folder, drain=False, delay_ms=2000)
+    land(f"{folder}/in", "c.json", [message(12, 3)])
+    early_run(spark, folder, drain=True)
+    rows = spark.read.parquet(f"{folder}/panes").collect()
+    got = {}
+    for r in rows:
+        assert r.events > 0 and r.window_end - r.window_start == timedelta(seconds=60)
+        total, n = got.get(r.window_start, (0, 0))
+        got[r.window_start] = (total + r.pane, n + r.events)
+    want = {}
+    for at, price, n in [(10 * i, 10, 1) for i in range(6)] + [(0, 10, 1), (5, 30, 3), (-86400, 10, 1), (1, 0, 1), (3, 10, 1)]:
+        for i in range(4):
+            start = T0 + timedelta(seconds=at // 15 * 15 - 15 * i)
+            total, count = want.get(start, (0, 0))
+            want[start] = (total + price, count + 1)
+    assert {k: (round(float(t), 3), n) for k, (t, n) in got.items()} == {k: (round(float(t), 3), n) for k, (t, n) in want.items()}
+
+
+def test_early_panes_of_an_empty_source(spark, folder):
+    land(f"{folder}/in", "a.json", ["broken"])
+    early_run(spark, folder, drain=True)
+    assert spark.read.schema("events bigint").parquet(f"{folder}/panes").count() == 0
