@@ -555,6 +555,14 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
            FROM (SELECT player_id, round(1 / (1 + exp(-(0.4 + 0.01 * recency_days::DOUBLE - 0.0002 * tenure_days::DOUBLE - 0.1 * log_ltv))), 6) AS p FROM fplayer)
            WHERE player_id = '1'""",
     ),
+    "lookup_pruned": (
+        ("fplayer",),
+        """SELECT lookup, CASE lookup WHEN 'player' THEN one ELSE len(list_filter(ps, lambda x: x >= cut)) END::BIGINT AS found,
+             TRUE AS at_most_a_tenth_read
+           FROM (SELECT count(*) FILTER (player_id = '1') AS one, list(p) AS ps, quantile_disc(p, 0.98) AS cut FROM (
+             SELECT player_id, round(1 / (1 + exp(-(0.4 + 0.01 * recency_days::DOUBLE - 0.0002 * tenure_days::DOUBLE - 0.1 * log_ltv))), 6) AS p FROM fplayer))
+           CROSS JOIN (VALUES ('player'), ('at_risk')) AS t(lookup)""",
+    ),
     "churn_model": (("p360",), "SELECT player_id, TRUE AS scored FROM p360"),
     "recommend_als": (
         ("inter",),

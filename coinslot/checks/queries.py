@@ -17,7 +17,7 @@ from coinslot.ml import churn, forecast, metrics, recommend, similarity
 from coinslot.model import schemas, views
 from coinslot.model.dims import dim_channel, dim_console
 from coinslot.model.views import purchases, read
-from coinslot.operators import changes, layout, quality, scd2
+from coinslot.operators import changes, layout, quality, scd2, skipping
 from coinslot.operators.dedup import append_dedup, best_row
 from coinslot.plans import catalog, features, gold, lookups, refresh, silver
 from coinslot.session import materialise, shared_dir, tune
@@ -93,10 +93,10 @@ def player_360(spark, sf):
     return gold.player_360(silver_events(spark, sf), history(spark, sf), F.expr(AS_OF))
 
 
-def published(spark, mart, name):
+def published(spark, mart, name, row_group_rows=skipping.ROW_GROUP_ROWS):
     """The mart as a clustered table under a name of its own: lookups read what is stored, not the plan."""
     table = f"{name}_{uuid.uuid4().hex[:12]}"
-    layout.publish(mart, table, refresh.CLUSTERING[name])
+    layout.publish(mart, table, refresh.CLUSTERING[name], refresh.BLOOM.get(name), row_group_rows)
     return spark.table(table)
 
 
@@ -645,6 +645,19 @@ def lookup_player_churn(spark, sf):
     return lookups.lookup_player_churn(published(spark, scored, "gold_player_churn_scores"), "1")
 
 
+@query
+def lookup_pruned(spark, sf):
+    """Lookups on either key of the published scores, cut into about 1024 row groups: rows found, and whether the scan
+    handed on at most a tenth of the table."""
+    scored = materialise(churn.score_churn(features.player_features(player_360(spark, sf)), WEIGHTS), "scored")
+    players, top = scored.agg(F.count("*"), F.expr("percentile_disc(0.98) WITHIN GROUP (ORDER BY churn_probability)")).first()
+    scores = published(spark, scored, "gold_player_churn_scores", max(1, players // 1024))
+    looked_up = {"player": lookups.lookup_player_churn(scores, "1"), "at_risk": lookups.lookup_players_at_risk(scores, top)}
+    read_rows = {name: skipping.rows_scanned(df) for name, df in looked_up.items()}
+    outcome = [(name, len(rows), scanned <= players / 10) for name, (rows, scanned) in read_rows.items()]
+    return spark.createDataFrame(outcome, "lookup string, found bigint, at_most_a_tenth_read boolean")
+
+
 @query
 def churn_model(spark, sf):
     """Trained on older players, applied to all: every player has a chance between 0 and 1, whatever is missing."""

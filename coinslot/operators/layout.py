@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from coinslot.operators.skipping import ROW_GROUP_ROWS, skipping_write
 from coinslot.session import materialise, table_dir
 
 
@@ -79,11 +80,15 @@ def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 1
     return files
 
 
-def publish(df: DataFrame, table: str, cluster_by: list[str] | None = None) -> None:
+def publish(
+    df: DataFrame, table: str, cluster_by: list[str] | None = None, bloom: list[str] | None = None,
+    row_group_rows: int = ROW_GROUP_ROWS,
+) -> None:
     """Staged publish: a fresh folder is written and counted, then the table points to it.
 
     Readers see the old or the new mart; a failed or incomplete write leaves the old one in place. Only
     where the columns changed is the table dropped and made again, as a location cannot carry columns.
+    With ``bloom`` columns the layout serves lookups on each clustering key (see ``operators.skipping``).
     Folders of earlier versions stay for running readers; the operator removes them.
     """
     spark = df.sparkSession
@@ -91,7 +96,10 @@ def publish(df: DataFrame, table: str, cluster_by: list[str] | None = None) -> N
     if cluster_by:
         # Stored first: the range exchange reads its input twice, and the stored rows are what must arrive.
         staged = materialise(df, "publish")
-        clustered_write(staged, path, cluster_by)
+        if bloom:
+            skipping_write(staged, path, cluster_by, bloom, row_group_rows=row_group_rows)
+        else:
+            clustered_write(staged, path, cluster_by)
     else:
         df.write.option("compression", "zstd").parquet(path)
     fresh = spark.read.parquet(path)

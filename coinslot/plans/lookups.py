@@ -17,3 +17,8 @@ def lookup_sales_by_era(mart: DataFrame, family: str = "PlayStation") -> DataFra
 def lookup_player_churn(scores: DataFrame, player_id: str) -> DataFrame:
     """Empty result means the player has not been scored."""
     return scores.filter(F.col("player_id") == player_id).select("player_id", "churn_probability", "risk_band")
+
+
+def lookup_players_at_risk(scores: DataFrame, at_least: float) -> DataFrame:
+    """Players from a churn probability upwards."""
+    return scores.filter(F.col("churn_probability") >= at_least).select("player_id", "churn_probability", "risk_band")

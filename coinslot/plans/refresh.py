@@ -20,13 +20,15 @@ CLUSTERING = {
     "gold_console_lifecycle": ["console_family"],
     "gold_membership_mrr": ["membership_tier"],
     "gold_title_performance": ["title"],
-    "gold_player_churn_scores": ["risk_band"],
+    "gold_player_churn_scores": ["player_id", "churn_probability"],
 }
+# Columns looked up by value: these tables are laid out for lookups on each of their clustering keys.
+BLOOM = {"gold_player_churn_scores": ["player_id"]}
 
 
 def _publish(df: DataFrame, schema: str, name: str) -> None:
     table = f"{schema}.{name}"
-    layout.publish(df.withColumn("_generated_at", F.current_timestamp()), table, CLUSTERING.get(name))
+    layout.publish(df.withColumn("_generated_at", F.current_timestamp()), table, CLUSTERING.get(name), BLOOM.get(name))
     layout.analyse(df.sparkSession, table)
 
 
@@ -55,8 +57,14 @@ def refresh_silver(
         _publish(kept, schema, name)
 
 
-def refresh_gold(spark: SparkSession, silver_schema: str, schema: str, history: DataFrame, as_of: Column) -> None:
-    """All marts and the player features from the silver tables and the subscription history."""
+def refresh_gold(
+    spark: SparkSession, silver_schema: str, schema: str, history: DataFrame, as_of: Column,
+    score: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """All marts and the player features from the silver tables and the subscription history.
+
+    ``score`` gives player features their ``churn_probability`` and ``risk_band``; with it the scores are a table too.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     sales = spark.table(f"{silver_schema}.silver_game_sales")
     events = spark.table(f"{silver_schema}.silver_purchase_events")
@@ -70,5 +78,8 @@ def refresh_gold(spark: SparkSession, silver_schema: str, schema: str, history:
         "feat_interactions": lambda: features.interaction_features(events),
         "feat_sales_ts": lambda: features.sales_timeseries(events),
     }
+    if score is not None:
+        columns = ["player_id", "churn_probability", "risk_band"]
+        marts["gold_player_churn_scores"] = lambda: score(spark.table(f"{schema}.feat_player")).select(*columns)
     for name, build in marts.items():
         _publish(build(), schema, name)
