@@ -456,9 +456,9 @@ def stream_events_bronze(spark, sf):
     root = shared_dir(spark, "bronze")
     raw = views.purchase_messages(scattered(spark, sf, root, copies=2)).drop("src_id")
     good = stream_events.good_events(stream_events.parse_messages(raw)).withColumn("event_date", F.to_date("occurred_at"))
-    sink = backfill.ExactlyOnce(spark, f"{root}/table")
-    runs.finish(runs.each_batch(good, sink, f"{root}/checkpoint"))
-    return sink.table().select(
+    once = backfill.first_arrivals(good)
+    runs.finish(runs.each_batch(once, runs.folder_per_batch(f"{root}/table"), f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table").select(
         "event_id", "player_id", "platform", "channel_code", "occurred_at", "quantity", "unit_price",
         "discount_pct", "event_date",
     )
@@ -468,9 +468,9 @@ def stream_events_bronze(spark, sf):
 def stream_dedup(spark, sf):
     root = shared_dir(spark, "dedup")
     twice = scattered(spark, sf, root, copies=2)
-    sink = backfill.ExactlyOnce(spark, f"{root}/table", at="ts")
-    runs.finish(runs.each_batch(twice, sink, f"{root}/checkpoint"))
-    return sink.table()
+    once = backfill.first_arrivals(twice, at="ts")
+    runs.finish(runs.each_batch(once, runs.folder_per_batch(f"{root}/table"), f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table").drop("batch_id")
 
 
 @query
@@ -479,12 +479,13 @@ def stream_restart(spark, sf):
     brings the first half again, in other files."""
     root = shared_dir(spark, "restart")
     rows = read(spark, sf, "events")
-    sink = backfill.ExactlyOnce(spark, f"{root}/table", at="ts")
+    sink = runs.folder_per_batch(f"{root}/table")
     for landing, part in enumerate((F.dayofmonth("ts") <= 15, F.lit(True))):
         rows.filter(part).repartition(3, "event_id").write.parquet(f"{root}/landing/part={landing}")
         source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing/*")
-        runs.finish(runs.each_batch(source, sink, f"{root}/checkpoint"))
-    return sink.table()
+        once = backfill.first_arrivals(source, at="ts")
+        runs.finish(runs.each_batch(once, sink, f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table").drop("batch_id")
 
 
 @query

@@ -1,9 +1,8 @@
 """Stream targets whose result does not depend on how the input falls into batches.
 
 A watermark decides by what earlier batches held, so it suits a live stream, where lateness is lag. For
-stored files, which come in any time order, these ``foreachBatch`` bodies keep what they know in
-tables instead: nothing is late, and the same rows give the same result for any number of files.
-Each batch writes one folder, so a replayed batch replaces itself.
+stored files, which come in any time order, nothing is late here, and the same rows give the same result
+for any number of files. Each batch writes one folder, so a replayed batch replaces itself.
 """
 
 from __future__ import annotations
@@ -12,34 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinslot.functions.expr import as_double, exact_sum
-from coinslot.session import read_stored
 from coinslot.streaming.windows import CELL, KEYS, SIZE, SLIDE, _by_window, _flat
 
 
-class ExactlyOnce:
-    """Appends the rows whose (event day, key) is not stored yet.
+def first_arrivals(events: DataFrame, key: str = "event_id", at: str = "occurred_at") -> DataFrame:
+    """The first row of each (event day, key) of a stream, nulls being keys like others.
 
-    The stored side is partitioned by day, so a batch reads the days it has itself. Copies of an event
-    carry its time; a key that comes again on another day is another event.
+    What was seen is state without a watermark: a batch asks for its own keys in RocksDB and reads nothing of
+    what earlier batches wrote, so its cost does not grow with the stream. State holds every key once, cut
+    over as many partitions as ``spark.sql.shuffle.partitions`` names when the checkpoint is made. Copies of
+    an event carry its time; a key that comes again on another day is another event.
     """
-
-    def __init__(self, spark: SparkSession, root: str, key: str = "event_id", at: str = "occurred_at"):
-        self.spark, self.root, self.key, self.at = spark, root, key, at
-
-    def _stored(self) -> DataFrame:
-        return read_stored(self.spark, f"{self.key} {self.kind}, batch_id bigint, _day date", self.root)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.kind = dict(batch.dtypes)[self.key]
-        fresh = batch.withColumn("_day", F.to_date(self.at)).dropDuplicates(["_day", self.key])
-        if batch_id > 0:
-            seen = self._stored().filter(F.col("batch_id") < batch_id).select("_day", self.key)
-            on = fresh["_day"].eqNullSafe(seen["_day"]) & fresh[self.key].eqNullSafe(seen[self.key])
-            fresh = fresh.join(seen, on, "left_anti")
-        fresh.write.mode("overwrite").partitionBy("_day").parquet(f"{self.root}/batch_id={batch_id}")
-
-    def table(self) -> DataFrame:
-        return self.spark.read.parquet(self.root).drop("batch_id", "_day")
+    day = "_day"
+    while day in events.columns:
+        day += "_"
+    return events.withColumn(day, F.to_date(at)).dropDuplicates([day, key]).drop(day)
 
 
 class WindowTotals:
