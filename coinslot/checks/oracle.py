@@ -575,6 +575,13 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         "SELECT platform_code, channel_type, ds, revenue, TRUE AS made FROM split WHERE split = 'validation'",
     ),
     "embedding_lsh": ((), "SELECT DISTINCT label::BIGINT AS query_id, TRUE AS exact, TRUE AS half_found FROM embeddings"),
+    "embedding_cells": (
+        (),
+        """SELECT query_id, least(10, (SELECT count(*) FROM embeddings)) AS matches, vec_id AS nearest_id, similarity, TRUE AS recall_reached
+           FROM (SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS similarity
+             FROM embeddings q CROSS JOIN embeddings e WHERE q.vec_id % 50 = 0)
+           QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) = 1""",
+    ),
     "recall_at_k": (("recall",), "SELECT relevant, hits, recall FROM recall WHERE m = 'purchases'"),
     "promotion_gate": (
         ("recall",),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from coinslot.functions.expr import net_revenue, ratio, release_era
-from coinslot.ml import churn, forecast, metrics, recommend, similarity
+from coinslot.ml import cells, churn, forecast, metrics, recommend, similarity
 from coinslot.model import schemas, views
 from coinslot.model.dims import dim_channel, dim_console
 from coinslot.model.views import purchases, read
@@ -874,3 +874,29 @@ def embedding_lsh_matches(spark, sf):
     matches = both.filter("distance IS NOT NULL").select("query_id", "vec_id", "distance")
     return matches.join(lsh_recall(both, reach).select("query_id", "recall"), "query_id")
 
+
+def cell_search(spark, sf):
+    """Every fiftieth row asks for its ten nearest among all rows; as many cells as find nine in ten of them."""
+    rows = read(spark, sf, "embeddings")
+    index = cells.build(rows, shared_dir(spark, "cells"), "vec_id")
+    asked = materialise(rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), "asked")
+    exact = materialise(similarity.cosine_topk(rows, asked, 10, "vec_id"), "exact")
+    return index, *cells.tune_probes(spark, index, asked, exact, 10, LSH_RECALL)
+
+
+@query
+def embedding_cells(spark, sf):
+    """Per query of the inverted lists: how many matches, the nearest one, and whether recall over all queries is 0.9."""
+    _, _, share, found = cell_search(spark, sf)
+    best = F.max(F.when(F.col("rank") == 1, F.struct("vec_id", "similarity")))
+    return found.groupBy("query_id").agg(F.count("*").alias("matches"), best.alias("b")).select(
+        "query_id", "matches", F.col("b.vec_id").alias("nearest_id"), F.col("b.similarity").alias("similarity"),
+        F.lit(share >= LSH_RECALL).alias("recall_reached"),
+    )
+
+
+@query
+def embedding_cells_matches(spark, sf):
+    """The matches, with the number of cells visited and the recall measured over all queries."""
+    index, probes, share, found = cell_search(spark, sf)
+    return found.select("*", F.lit(probes).alias("probes"), F.lit(len(index.centres)).alias("cells"), F.lit(share).alias("recall"))
