@@ -620,6 +620,11 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT title, platform_code, 6::INTEGER AS dims,
              (length(document) - length(translate(document, 'aeiou ', '')))::DOUBLE AS total FROM docs""",
     ),
+    "catalog_term_vectors": (
+        ("docs",),
+        """SELECT title, platform_code, 256::INTEGER AS dims, 1.0::DOUBLE AS norm,
+             len(regexp_extract_all(lower(document), '[a-z0-9]+'))::INTEGER AS n_terms FROM docs""",
+    ),
     "embedding_topk": (
         (),
         """WITH c AS (SELECT label, list(v ORDER BY pos) AS q FROM (SELECT label, pos, avg(v::DOUBLE) AS v

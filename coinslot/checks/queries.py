@@ -827,6 +827,17 @@ def catalog_embed(spark, sf):
     return vectors.select("title", "platform_code", F.size("embedding").alias("dims"), total.alias("total"))
 
 
+@query
+def catalog_term_vectors(spark, sf):
+    """The default embedder: dimensions, length of the vector, number of terms."""
+    documents = materialise(catalog.catalog_documents(part_catalog(spark, sf)), "catalog-documents")
+    vectors = materialise(catalog.term_vectors(documents), "catalog-terms")
+    squares = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
+    return vectors.select(
+        "title", "platform_code", F.size("embedding").alias("dims"), F.round(F.sqrt(squares), 4).alias("norm"), "n_terms"
+    )
+
+
 def label_centroids(spark, sf):
     return similarity.centroids(read(spark, sf, "embeddings"), "label", "embedding")
 

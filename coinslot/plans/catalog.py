@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -141,3 +143,25 @@ def embed(documents: DataFrame, model: Callable[[list[str]], np.ndarray], chunk:
             yield batch[CATALOG_KEY].assign(embedding=[np.asarray(v, dtype="float32") for v in rows])
 
     return documents.mapInPandas(run, "title string, platform_code string, embedding array<float>")
+
+
+def terms(text: str):
+    """Runs of letters and digits in lower case; none for a null text."""
+    lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return F.filter(F.split(lowered, "[^a-z0-9]+"), lambda t: t != "")
+
+
+def term_vectors(documents: DataFrame, dims: int = 256) -> DataFrame:
+    """The embedder without a model client: hashed term counts, weighted by rarity, of length one.
+
+    Built-in stages only; what is fitted is ``dims`` document counts. A text without terms has the zero vector,
+    and so have texts all of whose terms are in every document.
+    """
+    bare = "title string, platform_code string, embedding array<float>, n_terms int"
+    counted = documents.select(*CATALOG_KEY, terms("document").alias("_terms"))
+    counts = HashingTF(numFeatures=dims, inputCol="_terms", outputCol="_counts").transform(counted)
+    if counts.isEmpty():
+        return documents.sparkSession.createDataFrame([], bare)
+    weighted = IDF(inputCol="_counts", outputCol="_weighted").fit(counts).transform(counts)
+    unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="_unit").transform(weighted)
+    return unit.select(*CATALOG_KEY, vector_to_array("_unit", "float32").alias("embedding"), F.size("_terms").alias("n_terms"))

@@ -1,3 +1,4 @@
+import math
 from datetime import datetime
 
 import pytest
@@ -228,3 +229,17 @@ def test_refresh_builds_all_layers(spark, raw_sales, ratings, raw_events, histor
     refresh.refresh_gold(spark, "lake_silver", "lake_gold", history, F.expr("DATE '2001-12-31'"))
     assert spark.table("lake_gold.gold_player_360").count() == 1
     assert {t.name for t in spark.catalog.listTables("lake_gold")} >= {"gold_membership_mrr", "feat_player", "feat_sales_ts"}
+
+
+def test_term_vectors(spark):
+    rows = [("a", "PS2", "Halo halo, wars"), ("b", "PS2", "Ico wars"), ("c", "PS2", None), ("d", None, "!?"), ("b", "PS2", "Ico wars")]
+    documents = spark.createDataFrame(rows, "title string, platform_code string, document string")
+    got = catalog.term_vectors(documents, 4096).collect()
+    by_title = {r.title: r for r in got}
+    assert len(got) == 5 and {t: r.n_terms for t, r in by_title.items()} == {"a": 3, "b": 2, "c": 0, "d": 0}
+    norms = {t: sum(x * x for x in r.embedding) for t, r in by_title.items()}
+    assert norms == pytest.approx({"a": 1.0, "b": 1.0, "c": 0.0, "d": 0.0})
+    # Rarer and repeated terms weigh more: of five texts one has "halo", twice; three have "wars".
+    high, low = sorted((x for x in by_title["a"].embedding if x), reverse=True)
+    assert high / low == pytest.approx(2 * math.log(6 / 2) / math.log(6 / 4), rel=1e-4)
+    assert catalog.term_vectors(documents.limit(0)).count() == 0
