@@ -563,6 +563,15 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
              SELECT player_id, round(1 / (1 + exp(-(0.4 + 0.01 * recency_days::DOUBLE - 0.0002 * tenure_days::DOUBLE - 0.1 * log_ltv))), 6) AS p FROM fplayer))
            CROSS JOIN (VALUES ('player'), ('at_risk')) AS t(lookup)""",
     ),
+    "churn_auc": (
+        ("fplayer",),
+        """SELECT (p + n)::BIGINT AS rows, p::BIGINT AS positives, CASE WHEN p > 0 AND n > 0 THEN round((t / (2.0::DOUBLE * p * n))::DOUBLE, 6) END AS auc
+           FROM (SELECT sum(pos) AS p, sum(neg) AS n, sum(pos * (2 * below + neg))::DOUBLE AS t FROM (
+             SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM (
+               SELECT s, count(*) FILTER (is_churned = 1) AS pos, count(*) FILTER (is_churned <> 1) AS neg FROM (
+                 SELECT is_churned, round(1 / (1 + exp(-(0.4 + 0.01 * recency_days::DOUBLE - 0.0002 * tenure_days::DOUBLE - 0.1 * log_ltv))), 6) AS s FROM fplayer)
+               WHERE s IS NOT NULL AND is_churned IS NOT NULL GROUP BY s)))""",
+    ),
     "churn_model": (("p360",), "SELECT player_id, TRUE AS scored FROM p360"),
     "recommend_als": (
         ("inter",),

@@ -668,6 +668,21 @@ def churn_model(spark, sf):
     return scored.select("player_id", F.col("churn_probability").between(0, 1).alias("scored"))
 
 
+@query
+def churn_auc(spark, sf):
+    """Area under the curve of the stored scores against the churn label, over all players."""
+    scored = materialise(churn.score_churn(features.player_features(player_360(spark, sf)), WEIGHTS), "scored")
+    return metrics.auc(scored, "churn_probability", "is_churned")
+
+
+@query
+def churn_holdout_auc(spark, sf):
+    """The fitted model on the players held out by time, whom it has not seen."""
+    training, held = churn.holdout(materialise(features.player_features(player_360(spark, sf)), "players"))
+    scored = materialise(churn.apply_churn(churn.fit_churn(training), held), "scored")
+    return metrics.auc(scored, "churn_probability", "is_churned")
+
+
 @query
 def recommend_als(spark, sf):
     """Ten titles per player out of all that the player does not have; how many each got."""

@@ -180,3 +180,14 @@ def test_lsh_reach_follows_the_distances_and_recall_is_measured(spark):
         for r in lsh_recall(both, reach).collect():
             own = {p for p in near if p[0] == r.query_id}
             assert r.near == len(own) and r.recall == pytest.approx(len(own & found) / len(own) if own else 1.0)
+
+
+def test_auc_against_all_pairs(spark):
+    rows = [(round((i * 37 % 23) / 23, 6), int(i * 7 % 5 < 2)) for i in range(200)] + [(0.5, 1)] * 60 + [(0.5, 0)] * 40
+    odd = [(None, 1), (0.3, None), (float("nan"), 1), (1.5, 0)]
+    got = metrics.auc(spark.createDataFrame(rows + odd, "s double, y int"), "s", "y").first()
+    pairs = [(a > b) + (a == b) / 2 for a, x in rows if x for b, y in rows if not y]
+    assert (got.rows, got.positives, got.auc) == (300, sum(y for _, y in rows), round(sum(pairs) / len(pairs), 6))
+    for few in ([], [(0.2, 1), (0.4, 1)]):
+        row = metrics.auc(spark.createDataFrame(few, "s double, y int"), "s", "y").first()
+        assert (row.rows, row.auc) == (len(few), None)
