@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from coinslot.ml import churn
 from coinslot.model.dims import dim_channel, dim_console
 from coinslot.operators import layout
 from coinslot.plans import catalog, features, gold, lookups, refresh, silver
@@ -226,7 +227,12 @@ def test_refresh_builds_all_layers(spark, raw_sales, ratings, raw_events, histor
     events = spark.table("lake_silver.silver_purchase_events")
     days = F.sequence(F.col("occurred_at"), F.col("occurred_at") + F.expr("INTERVAL 39 DAYS"), F.expr("INTERVAL 1 DAY"))
     layout.publish(events.withColumn("occurred_at", F.explode(days)), "lake_silver.silver_purchase_events")
-    refresh.refresh_gold(spark, "lake_silver", "lake_gold", history, F.expr("DATE '2001-12-31'"))
+    weights = churn.LogisticWeights(0.4, 0.01, -0.0002, -0.1)
+    refresh.refresh_gold(
+        spark, "lake_silver", "lake_gold", history, F.expr("DATE '2001-12-31'"), lambda f: churn.score_churn(f, weights)
+    )
+    scores = spark.table("lake_gold.gold_player_churn_scores")
+    assert [r.player_id for r in lookups.lookup_player_churn(scores, "p").collect()] == ["p"]
     assert spark.table("lake_gold.gold_player_360").count() == 1
     assert {t.name for t in spark.catalog.listTables("lake_gold")} >= {"gold_membership_mrr", "feat_player", "feat_sales_ts"}
 
