@@ -191,3 +191,24 @@ def test_auc_against_all_pairs(spark):
     for few in ([], [(0.2, 1), (0.4, 1)]):
         row = metrics.auc(spark.createDataFrame(few, "s double, y int"), "s", "y").first()
         assert (row.rows, row.auc) == (len(few), None)
+
+
+def test_recommender_blocks_hold_the_exact_best_titles(spark):
+    """Several blocks of players and titles: the scores are those of all pairs, without the pairs there are."""
+    rng = np.random.default_rng(5)
+    rows = sorted({(f"p{u}", f"i{i}") for u, i in zip(rng.integers(0, 90, 900).tolist(), rng.integers(0, 300, 900).tolist())})
+    pairs = spark.createDataFrame([(u, i, 1.0 + len(u + i) % 3) for u, i in rows], "player_id string, product_id string, confidence double")
+    training = recommend.training_set(pairs, pairs.select("player_id", F.lit(0).alias("is_churned")).distinct()).cache()
+    model = recommend.fit_recommender(training, rank=4)
+    names = [dict(training.select(f"{c}_code", f"{n}_id").distinct().collect()) for c, n in (("player", "player"), ("item", "product"))]
+    users, items = ({names[n][r.id]: np.array(r.features) for r in f.collect()} for n, f in enumerate((model.userFactors, model.itemFactors)))
+    got = {}
+    for r in recommend.best_items(training, model, 7, player_block=40, item_block=70).collect():
+        got.setdefault(r.player_id, {})[r["rank"]] = (r.product_id, r.prediction)
+    owned = set(rows)
+    assert len(got) == len(users)
+    for user, listed in got.items():
+        scores = {i: float(users[user] @ v) for i, v in items.items() if (user, i) not in owned}
+        assert sorted(listed) == list(range(1, 8))
+        assert np.allclose([listed[k][1] for k in range(1, 8)], sorted(scores.values(), reverse=True)[:7], atol=1e-5)
+        assert all(abs(scores[i] - p) < 1e-5 for i, p in listed.values()) and len({i for i, _ in listed.values()}) == 7
