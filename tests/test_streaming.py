@@ -268,3 +268,21 @@ def test_first_arrivals_repeat_an_uncommitted_batch(spark, folder):
         if os.path.exists(f"{folder}/cp/commits/{name}"):
             os.remove(f"{folder}/cp/commits/{name}")
     assert run() == got
+
+
+def test_early_panes_end_when_batches_outlast_their_interval(spark, folder):
+    """A batch is always under way, as each takes longer than the trigger interval."""
+    land(f"{folder}/in", "a.json", [message(1)])
+    land(f"{folder}/in", "b.json", [message(2)])
+    good, _ = events.parse_with_dlq(file_messages(spark, f"{folder}/in", max_files=1))
+    write = runs.folder_per_batch(f"{folder}/panes")
+
+    def slow(batch, n):
+        write(batch, n)
+        time.sleep(1.5)
+
+    panes = early_panes.early_panes(good, delay_ms=100, slices=1)
+    query = runs.each_batch(panes, slow, f"{folder}/cp", interval="100 milliseconds")
+    early_panes.finish_when_drained(query, timeout=90)
+    assert not query.isActive and query.exception() is None
+    assert spark.read.parquet(f"{folder}/panes").agg(F.sum("events")).first()[0] == 8
