@@ -286,3 +286,18 @@ def test_early_panes_end_when_batches_outlast_their_interval(spark, folder):
     early_panes.finish_when_drained(query, timeout=90)
     assert not query.isActive and query.exception() is None
     assert spark.read.parquet(f"{folder}/panes").agg(F.sum("events")).first()[0] == 8
+
+
+def test_stream_files_grow_with_the_table(spark, folder):
+    """A table that several tasks read makes as many files a batch, in the same number of batches."""
+    from coinslot.checks import queries
+
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/events.parquet")
+    with queries.setting(spark, "spark.sql.files.maxPartitionBytes", "4096"):
+        wide = queries.splits(spark.read.parquet(f"{sf}/events.parquet"))
+        stream = queries.scattered(spark, sf, folder, copies=2)
+    assert wide > 1 and len([f for f in os.listdir(f"{folder}/source") if f.endswith(".parquet")]) == 4 * wide
+    query = runs.finish(runs.each_batch(stream, runs.folder_per_batch(f"{folder}/out"), f"{folder}/cp"))
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
+    assert spark.read.parquet(f"{folder}/out").count() == 2 * rows.count()
