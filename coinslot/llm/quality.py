@@ -28,6 +28,8 @@ DIM = 8
 #: Passes over the sample, and steps at least: a small sample is passed more often.
 EPOCHS, STEPS = 4, 6000
 RATE = 0.5
+#: Different words whose features are found together: bounds memory, changes no result.
+WORD_BLOCK = 20_000
 #: Lengths of character n-grams, in bytes.
 NGRAMS = (3, 4, 5)
 
@@ -72,6 +74,17 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(owners)
 
 
+def features_by_word(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of every feature, word by word, in the smallest type that holds them, and where each word's begin (with the end)."""
+    found, counts = [np.empty(0, np.min_scalar_type(BUCKETS - 1))], [np.zeros(1, np.int64)]
+    for at in range(0, len(words), WORD_BLOCK):
+        block = words.slice(at, WORD_BLOCK)
+        features, of_word = word_features(block)
+        found.append(features[np.argsort(of_word, kind="stable")].astype(found[0].dtype))
+        counts.append(np.bincount(of_word, minlength=len(block)))
+    return np.concatenate(found), np.cumsum(np.concatenate(counts))
+
+
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Different words of some texts, the word at each place, and the text of each place, in text order.
 
@@ -103,19 +116,17 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarra
     if len(set(labels.tolist())) < 2:
         return table, 0.0
     words, at, owner = _words(texts)
-    features, of_word = word_features(words)
-    order = np.argsort(of_word, kind="stable")
-    features, first = features[order], np.searchsorted(of_word[order], np.arange(len(words) + 1))
+    features, first = features_by_word(words)
     texts_first = np.searchsorted(owner, np.arange(len(texts) + 1))
     bags = []
     for k in range(len(texts)):
         seen, times = np.unique(at[texts_first[k] : texts_first[k + 1]], return_counts=True)
         parts = [features[first[w] : first[w + 1]] for w in seen]
-        rows = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        rows = np.concatenate(parts) if parts else features[:0]
         weights = np.repeat(times, [len(p) for p in parts]) if parts else np.empty(0)
         rows, inverse = np.unique(rows, return_inverse=True)
         weights = np.bincount(inverse, weights, len(rows))
-        bags.append((rows.astype(np.int32), (weights / max(weights.sum(), 1)).astype(np.float32)))
+        bags.append((rows, (weights / max(weights.sum(), 1)).astype(np.float32)))
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)

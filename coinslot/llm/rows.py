@@ -11,12 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that are worked on at once inside a task. A longer single text is a slice of its own.
 SLICE_BYTES = 4_000_000
+#: Bytes of the Arrow batches that go to tasks' Python workers: with its last row a batch mostly is one slice.
+BATCH_BYTES = 3_900_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches of the session are cut by bytes as well: by rows alone, long texts make them as large as the rows are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def filled(text: pa.Array) -> pa.Array:
     """Texts as one large_string array; null counts as empty."""
     return pc.fill_null(text.cast(pa.large_string()), "")

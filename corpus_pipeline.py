@@ -8,13 +8,15 @@ texts, whatever their ids.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coinslot.llm import exact_dedup, jaccard_join, packing, pii, quality
 from coinslot.llm.queries import END, WORDS
-from coinslot.llm.rows import documents, free_name
+from coinslot.llm.rows import bounded_batches, documents, free_name
 from coinslot.ml.recommend import dense_codes
 from coinslot.session import materialise
 
@@ -105,12 +107,23 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path(WORDS), END)
 
 
+def _bounded(stage):
+    """The stage with Arrow batches bounded by bytes: the executors run all stages in the same memory."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_classifier", quality_filter),
-    ("exact_dedup", exact_copies),
-    ("ngram_jaccard", near_copies),
-    ("pii", personal_data),
-    ("packing", pack_sequences),
+    ("quality_classifier", _bounded(quality_filter)),
+    ("exact_dedup", _bounded(exact_copies)),
+    ("ngram_jaccard", _bounded(near_copies)),
+    ("pii", _bounded(personal_data)),
+    ("packing", _bounded(pack_sequences)),
 ]
 
 #: Learned scores and tokenizers have no SQL form; tests/llm holds the stages against brute force.

@@ -1,9 +1,11 @@
 """The classifier on a held-out fold, exact search against brute force, the pipeline stage by stage."""
 
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +36,21 @@ def test_classifier_never_learns_from_the_held_out_fold(spark):
     assert len(quality.labelled_sample(docs, labels, limit=10).collect()) == 10
 
 
+def test_classifier_features_come_in_blocks(monkeypatch):
+    """Features of all words together took several hundred bytes a feature; the blocks give the same in the same order."""
+    words = pa.array([f"w{i}é{'x' * (i % 40)}{i * 7919}" for i in range(50_000)], pa.large_string())
+    tracemalloc.start()
+    features, first = quality.features_by_word(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(features) and features.dtype == np.uint16
+    for k in (0, 19_999, 20_000, 49_999):
+        assert features[first[k] : first[k + 1]].tolist() == quality.word_features(words.slice(k, 1))[0].tolist()
+    assert len(first) == len(words) + 1 and first[-1] == len(features)
+    nothing = quality.features_by_word(words.slice(0, 0))
+    assert len(nothing[0]) == 0 and nothing[1].tolist() == [0]
+
+
 def test_classifier_edges(spark):
     docs = table(spark, ["good plain words", None, "", "### $$$", "x" * 50_000, "good plain words"], [1, 2, 3, None, 5, 1])
     model = quality.fit(spark.createDataFrame([], "doc_id long, text string, label int"))
@@ -130,6 +147,23 @@ def test_pipeline_stages_on_edges(spark, folder, texts):
     assert docs.count() == 0 or texts
 
 
+def test_pipeline_batches_are_bounded_by_bytes(spark, monkeypatch):
+    """Long texts come to a stage a few megabytes at a time, not ten thousand rows at a time."""
+
+    def sized(docs):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+        return docs.mapInArrow(run, "n long")
+
+    docs = table(spark, ["x" * 100_000] * 100).coalesce(1)
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda given, *_: sized(given))
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    sizes = [r.n for r in dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF).collect()]
+    assert max(sizes) < 5_000_000 and sum(sizes) > 10_000_000
+
+
 def test_pipeline_exact_stage_keeps_one_row_per_text(spark):
     """Repeated, shared and null ids, by their exact rows."""
     texts = ["A", "A", "B", "C", "C", "C ", "D", "D", "D", "E é\U0001f600", "E\té \U0001f600", None, "", " \v\f", "F", "F"]
