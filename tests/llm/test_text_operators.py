@@ -498,3 +498,16 @@ def test_exact_dedup_compares_each_row_once(spark, monkeypatch):
     rows = exact_dedup.exact_groups(table(spark, found * 2, [None] * len(found) + [7] * len(found))).collect()
     assert counts == [42] and sorted(r.group_size for r in rows) == [2] * 2 + [4] * 4 + [8] * 40
     assert all(r.keep_id == 7 and r.kept == (r.doc_id == 7) for r in rows)
+
+
+def test_words_are_cut_all_at_once(monkeypatch):
+    """Plain words, accented capitals too, take no step of their own; ids are the library's."""
+    encoder = WordEncoder(WORDS)
+    texts = ["It's we'LL x'y''s 'sa 12.5 a1b2 ßÀÉÿ×÷ Ünïcode--'re é'S", "", " \t\v ", "<|endoftext|> a\nb\r\nc", "KK é İ ﬁ µ x\u0000y"]
+    for _ in range(2):
+        ids, starts = encoder.encode(pa.array(texts))
+        got = [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])]
+        assert got == library_ids(texts)
+    monkeypatch.setattr(WordEncoder, "_word", None)
+    plain = ["It's we'LL x'y''s 'sa 12.5 a1b2 ß\u00c0\u00c9\u00ff \u00e9'S"]
+    assert WordEncoder(WORDS).encode(pa.array(plain))[0].tolist() == library_ids(plain)[0]
