@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coinslot.ml import churn
+from coinslot.model import views
 from coinslot.model.dims import dim_channel, dim_console
 from coinslot.operators import layout
 from coinslot.plans import catalog, features, gold, lookups, refresh, silver
@@ -249,3 +250,10 @@ def test_term_vectors(spark):
     high, low = sorted((x for x in by_title["a"].embedding if x), reverse=True)
     assert high / low == pytest.approx(2 * math.log(6 / 2) / math.log(6 / 4), rel=1e-4)
     assert catalog.term_vectors(documents.limit(0)).count() == 0
+
+
+def test_no_line_is_shuffled_with_the_texts_of_parts(spark):
+    """Parts are joined last and customers to orders, so the listing's lines carry numbers only until then."""
+    plan = views.raw_sales(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "p_partkey" in joins[0] and "l_orderkey" in joins[1] and len(joins) == 5
