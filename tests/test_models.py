@@ -1,8 +1,12 @@
+import datetime
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from coinslot.ml import churn, forecast, metrics, recommend, similarity
+from coinslot.plans import features
 
 
 def test_dense_codes_are_dense_and_stable(spark):
@@ -105,6 +109,30 @@ def test_churn_scores_every_player_whatever_is_missing(spark):
     assert scored.filter("churn_probability BETWEEN 0 AND 1").count() == rows.count()
 
 
+def test_training_set_codes_labelled_players_only(spark):
+    rows = [("p", "a", 1.0), ("p", "b", 2.0), ("q", "b", 3.0), ("r", "c", 4.0), (None, "a", 5.0), ("q", None, 6.0)]
+    pairs = spark.createDataFrame(rows, "player_id string, product_id string, confidence double")
+    labels = spark.createDataFrame([("p", 1), ("q", 0), ("q", 1), ("idle", 0), (None, 1)], "player_id string, is_churned int")
+    training = recommend.training_set(pairs, labels)
+    code = lambda ids: {i: n for n, i in enumerate(sorted(ids, key=lambda i: hashlib.md5(i.encode()).hexdigest()))}
+    players, items = code("pq"), code("ab")
+    want = [("p", "a", 1.0, 1), ("p", "b", 2.0, 1), ("q", "b", 3.0, 0), ("q", "b", 3.0, 1)]
+    assert sorted(map(tuple, training.collect())) == [(p, i, players[p], items[i], c, k) for p, i, c, k in want]
+    # Interactions meet the labels once, not again for every list of ids.
+    assert training._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
+def test_interactions_by_type_leave_no_event_out(spark):
+    columns = "player_id string, product_id string, title string, platform_code string, console_family string, product_type string, net_revenue double, occurred_at timestamp"
+    at = [datetime.datetime(2024, 1, day) for day in (1, 2, 3)]
+    rows = [("p", "a", "t", "x", "f", "GAME", 1.0, at[0]), ("p", "a", "t", "x", "f", "GAME", None, at[1]), ("p", "a", "t", "x", "f", "CONSOLE", 2.0, at[2])]
+    events = spark.createDataFrame([*rows, ("q", "a", "t", None, None, None, 2.0, None)], columns)
+    both = features.interactions_by_type(events)
+    games = both.filter("product_type = 'GAME'").drop("product_type").collect()
+    assert games == features.interactions(events).collect() and games[0].purchases == 2
+    assert {(r.player_id, r.last_seen) for r in both.groupBy("player_id").agg(F.max("last_seen").alias("last_seen")).collect()} == {("p", at[2]), ("q", None)}
+
+
 def test_recommender_prefers_the_own_cluster(spark):
     rows = [(f"p{u}", f"i{i}", 2.0) for u in range(20) for i in range(20) if u % 2 == i % 2 and (u, i) != (0, 0)]
     pairs = spark.createDataFrame(rows, "player_id string, product_id string, confidence double")
