@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coinslot.llm.components import components
-from coinslot.llm.rows import filled, slices, text_bytes
+from coinslot.llm.rows import filled, release, slices, text_bytes
 from coinslot.session import materialise
 
 #: Words of an n-gram, and the similarity that links, in per cent.
@@ -227,6 +227,8 @@ def _told(sent: DataFrame, partitions: int) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         if held:
             yield from told(held[0].column("p")[0].as_py(), pa.Table.from_batches(held)).to_batches()
+        held = []
+        release()
 
     def told(p: int, rows: pa.Table) -> pa.Table:
         own = rows.filter(rows.column("low").is_valid())
@@ -282,6 +284,7 @@ def _sets(told: DataFrame, chunks: int) -> DataFrame:
     """One row per document: its size, mark, and, if it can match anything, its prefix and shared n-grams."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
+        release()
         about = rows.filter(rows.column("ids").is_valid()).to_pylist()[0]
         sizes = np.frombuffer(about["sizes"], "<i8")
         n = len(sizes)

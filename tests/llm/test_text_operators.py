@@ -14,7 +14,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from coinslot.llm import byte_bpe, exact_dedup, jaccard_join, license_scan, packing, pii, token_counts, token_store
+from coinslot.llm import byte_bpe, exact_dedup, jaccard_join, license_scan, packing, pii, rows, token_counts, token_store
 from coinslot.llm.components import components
 from coinslot.llm.words import WordEncoder
 
@@ -511,3 +511,19 @@ def test_words_are_cut_all_at_once(monkeypatch):
     monkeypatch.setattr(WordEncoder, "_word", None)
     plain = ["It's we'LL x'y''s 'sa 12.5 a1b2 ß\u00c0\u00c9\u00ff \u00e9'S"]
     assert WordEncoder(WORDS).encode(pa.array(plain))[0].tolist() == library_ids(plain)[0]
+
+
+def test_slices_give_memory_back(monkeypatch):
+    """A worker keeps nothing of a batch it is done with; it would hold it through all later stages."""
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon")) / 1024
+
+    batch = pa.record_batch({"text": ["a b"] * 10})
+    before = held()
+    small = [bytes(1000) for _ in range(100_000)]
+    keep = small[::1000]
+    del small
+    assert sum(len(part) for part in rows.slices(batch, "text", 9)) == 10
+    assert held() - before < 50 and len(keep) == 100
