@@ -157,6 +157,51 @@ def test_alignment_piece_encoder_is_the_library(texts):
             assert ids[a:b].tolist() == sp.encode(t), repr(t)[:200]
 
 
+def test_alignment_meets_a_unit_once(texts, monkeypatch):
+    """Only what is new in a chunk is encoded and aligned; known units are put together from memory."""
+    tokens, aligned = [], token_alignment.irregular
+    monkeypatch.setattr(token_alignment, "irregular", lambda a, b: tokens.append(len(a)) or aligned(a, b))
+    both = token_alignment.Tokens(MERGES, PIECES)
+    first = token_alignment.align_chunk(both, texts)
+    assert 0 < sum(tokens) < first["n_a"].sum()
+    tokens.clear()
+    again = token_alignment.align_chunk(both, texts[::-1])
+    assert not tokens
+    assert again["groups"] == first["groups"][::-1]
+    assert all(np.array_equal(first[c], again[c]) for c in ("keys", "counts"))
+
+
+@pytest.mark.parametrize("bound", [50, 20_000])
+def test_alignment_forgets_without_a_change(texts, monkeypatch, bound):
+    parts = [texts[i : i + 20] for i in range(0, len(texts), 20)] * 2
+    both = token_alignment.Tokens(MERGES, PIECES)
+    expected = [token_alignment.align_chunk(both, part) for part in parts]
+    monkeypatch.setattr(token_alignment, "REMEMBERED_BYTES", bound)
+    monkeypatch.setattr(token_alignment, "BLOCK", 100)
+    both = token_alignment.Tokens(MERGES, PIECES)
+    for part, whole in zip(parts, expected):
+        got = token_alignment.align_chunk(both, part)
+        assert all(np.array_equal(got[c], whole[c]) for c in whole)
+
+
+def test_alignment_units_have_the_tokens_of_their_text():
+    """Cuts next to white space of all kinds, contractions, digits and signs, against the libraries on whole texts."""
+    rng = random.Random(12)
+    tk = tokenizers.Tokenizer.from_file(MERGES)
+    tk.encode_special_tokens = True
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    both = token_alignment.Tokens(MERGES, PIECES)
+    plain = [*"aebst  \n\t.,;)'-07éß", "'s", "'re", " 'll", "\n's", "\n\n", "   ", " the", "der "]
+    odd = [*"\r\x0b\x0c\x1c\x85\xa0漢字Жñ😀\u3000\x00", "\r\n", ");\r", "<|endoftext|>", "</s>"]
+    for k in range(4000):
+        text = " " + "".join(rng.choice(plain + odd * (k % 2)) for _ in range(rng.randint(1, 30)))
+        found = token_alignment.units(text)
+        assert "".join(found) == text
+        a = both.a.encode(found, is_pretokenized=True, add_special_tokens=False).ids
+        assert a == tk.encode(text, add_special_tokens=False).ids, repr(text)
+        assert both.b.encode(found)[0].tolist() == sp.encode(text[1:]), repr(text)
+
+
 def test_alignment_groups_follow_both_ends():
     rng = random.Random(4)
     for _ in range(300):
