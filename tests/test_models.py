@@ -1,5 +1,6 @@
 import datetime
 import hashlib
+import os
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from coinslot.ml import churn, forecast, metrics, recommend, similarity
 from coinslot.plans import features
+from coinslot.session import discard, materialise
 
 
 def test_dense_codes_are_dense_and_stable(spark):
@@ -240,3 +242,32 @@ def test_recommender_blocks_hold_the_exact_best_titles(spark):
         assert sorted(listed) == list(range(1, 8))
         assert np.allclose([listed[k][1] for k in range(1, 8)], sorted(scores.values(), reverse=True)[:7], atol=1e-5)
         assert all(abs(scores[i] - p) < 1e-5 for i, p in listed.values()) and len({i for i, _ in listed.values()}) == 7
+
+
+def shuffle_bytes(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_recommender_blocks_take_no_disk_of_their_own(spark):
+    """Sixty blocks of players and of titles: nothing is stored per pair of blocks, and a stored result keeps no shuffle files."""
+    rows = [(f"p{u}", f"i{i}", 1.0 + i % 3) for u in range(1200) for i in range(u % 67, 1200, 67)]
+    pairs = spark.createDataFrame(rows, "player_id string, product_id string, confidence double")
+    training = materialise(recommend.training_set(pairs, pairs.select("player_id", F.lit(0).alias("is_churned")).distinct()), "training")
+    model = recommend.fit_recommender(training, iterations=1)
+    before = shuffle_bytes(spark)
+    got = recommend.best_items(training, model, 5, player_block=20, item_block=20).collect()
+    assert shuffle_bytes(spark) - before < 1_000_000
+    score = {(r.player_id, r["rank"]): r.prediction for r in recommend.best_items(training, model, 5).collect()}
+    assert len(got) == len(score) == 1200 * 5
+    assert all(abs(score[r.player_id, r["rank"]] - r.prediction) < 1e-5 for r in got)
+
+
+def test_discarded_scratch_goes_and_nothing_else(spark, folder):
+    spark.range(5).write.parquet(f"{folder}/table")
+    table, kept = spark.read.parquet(f"{folder}/table"), materialise(spark.range(3), "kept")
+    spent = materialise(kept.crossJoin(table.withColumnRenamed("id", "other")), "spent")
+    at = spent.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(at)
+    discard(spent.crossJoin(table))
+    assert not os.path.exists(at) and (kept.count(), table.count()) == (3, 5)
