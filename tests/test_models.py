@@ -271,3 +271,16 @@ def test_discarded_scratch_goes_and_nothing_else(spark, folder):
     assert os.path.isdir(at)
     discard(spent.crossJoin(table))
     assert not os.path.exists(at) and (kept.count(), table.count()) == (3, 5)
+
+
+@pytest.mark.parametrize("name", ["recommend_recall"])
+def test_measures_of_the_model_leave_no_interim_tables(spark, name):
+    """What the ranks and the training set were made from is deleted, and the ranked pairs carry no texts."""
+    from coinslot.checks import queries
+
+    at = f"{spark.conf.get('spark.checkpoint.dir')}/coinslot"
+    before = set(os.listdir(at)) if os.path.isdir(at) else set()
+    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == 1
+    left = {folder.rsplit("-", 1)[0]: folder for folder in set(os.listdir(at)) - before}
+    assert "ranked" in left and not left.keys() & {"interactions", "training-pairs"}
+    assert "title" not in spark.read.parquet(f"{at}/{left['ranked']}").columns
