@@ -273,7 +273,7 @@ def test_discarded_scratch_goes_and_nothing_else(spark, folder):
     assert not os.path.exists(at) and (kept.count(), table.count()) == (3, 5)
 
 
-@pytest.mark.parametrize("name", ["recommend_recall"])
+@pytest.mark.parametrize("name", ["recommend_recall", "recommend_gate"])
 def test_measures_of_the_model_leave_no_interim_tables(spark, name):
     """What the ranks and the training set were made from is deleted, and the ranked pairs carry no texts."""
     from coinslot.checks import queries
