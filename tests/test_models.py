@@ -274,13 +274,21 @@ def test_discarded_scratch_goes_and_nothing_else(spark, folder):
 
 
 @pytest.mark.parametrize("name", ["recommend_recall", "recommend_gate"])
-def test_measures_of_the_model_leave_no_interim_tables(spark, name):
+def test_measures_of_the_model_leave_no_interim_tables(spark, folder, name):
     """What the ranks and the training set were made from is deleted, and the ranked pairs carry no texts."""
     from coinslot.checks import queries
 
+    tables = {
+        "lineitem": "id AS l_orderkey, 1 + id % 7 AS l_linenumber, id * 7 % 40 AS l_partkey, 1L AS l_suppkey, DATE'2000-01-01' + CAST(id % 300 AS int) AS l_shipdate, "
+        "'N' AS l_returnflag, 2D AS l_quantity, 0D AS l_discount",
+        "orders": "id AS o_orderkey, id % 30 AS o_custkey, '1-URGENT' AS o_orderpriority",
+        "part": "id AS p_partkey, 'title ' || id AS p_name, id % 50 AS p_size, 9.5D AS p_retailprice, 'x' AS p_type, 'y' AS p_brand",
+    }
+    for table, columns in tables.items():
+        spark.range(40 if table == "part" else 1200).selectExpr(*columns.split(", ")).write.parquet(f"{folder}/{table}.parquet")
     at = f"{spark.conf.get('spark.checkpoint.dir')}/coinslot"
     before = set(os.listdir(at)) if os.path.isdir(at) else set()
-    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() == 1
+    assert queries.QUERIES[name](spark, folder).count() == 1
     left = {folder.rsplit("-", 1)[0]: folder for folder in set(os.listdir(at)) - before}
     assert "ranked" in left and not left.keys() & {"interactions", "training-pairs"}
     assert "title" not in spark.read.parquet(f"{at}/{left['ranked']}").columns
